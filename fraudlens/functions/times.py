@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from datetime import timedelta
 
 from pyspark.sql import Column, functions as F
 
@@ -18,10 +17,6 @@ def seconds(duration: str) -> int:
     return int(match[1]) * _UNITS[match[2]]
 
 
-def interval(n_seconds: float) -> Column:
-    return F.lit(timedelta(seconds=n_seconds))
-
-
 def time_text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with a fraction only where there is one."""
     return ts.cast("string")

@@ -14,14 +14,13 @@ BROADCAST_BYTES = 128 << 20
 
 def measured_bytes(df: DataFrame) -> int:
     """Upper bound of the bytes of all rows as Spark holds them in memory; runs one small job."""
-    size = F.lit(32)
+    row, texts = 32 + 16 * len(df.columns), ["0"]
     for field in df.schema:
-        size = size + 8
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
+            texts.append(f"coalesce(octet_length(`{field.name}`), 0)")
         elif not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
             raise ValueError(f"no size bound for {field.name} of type {field.dataType.simpleString()}")
-    return df.agg(F.sum(size)).first()[0] or 0
+    return df.agg(F.expr(f"sum(bigint({row} + {' + '.join(texts)}))")).first()[0] or 0
 
 
 def dictionary_join(

@@ -13,12 +13,9 @@ Two forms give the same rows.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from fraudlens.functions.times import interval, seconds
+from fraudlens.functions.times import seconds
 
 
 def panes_per_window(size: str, slide: str) -> int:
@@ -44,35 +41,34 @@ def _chunked(df: DataFrame, columns: list[str], time: str, slide: str, panes: in
     step = seconds(slide)
     length = windows * step
     back = -(-(panes - 1) // windows)
-    chunk = F.window(time, f"{length} seconds").start
-    located = df.select(*columns, F.col(time).alias("_time"), chunk.alias("_chunk")).select(
-        *columns, "_chunk", F.expr(f"(_time - _chunk) div INTERVAL '{step}' SECOND").cast("int").alias("_pane")
+    located = df.select(*columns, F.col(time).alias("_time"), F.window(time, f"{length} seconds").start.alias("_start"))
+    copies = ", ".join(
+        f"struct(_start - INTERVAL '{b * length}' SECOND AS chunk, _pane + {b * windows} AS pane)" for b in range(back + 1)
     )
-    copies = F.array(*[
-        F.struct((F.col("_chunk") - interval(b * length)).alias("chunk"), (F.col("_pane") + b * windows).alias("pane"))
-        for b in range(back + 1)
-    ])
-    copied = located.select(*columns, F.explode(copies).alias("_copy"))
-    return copied.select(*columns, F.col("_copy.chunk").alias("_chunk"), F.col("_copy.pane").alias("_pane")).where(
-        F.col("_pane") < windows + panes - 1
+    return (
+        located.selectExpr(*map(_quoted, columns), "_start", f"int((_time - _start) div INTERVAL '{step}' SECOND) AS _pane")
+        .selectExpr(*map(_quoted, columns), f"inline(array({copies})) AS (_chunk, _pane)")
+        .where(f"_pane < {windows + panes - 1}")
     )
 
 
-def _emit(chunks: DataFrame, keys: list[str], values: list[Column], minimum: int, name: str, size: str, slide: str) -> DataFrame:
+def _quoted(column: str) -> str:
+    return f"`{column}`"
+
+
+def _emit(chunks: DataFrame, keys: list[str], values: list[str], minimum: int, name: str, size: str, slide: str) -> DataFrame:
     """One row per chunk with a value per window, to one row per window that reaches ``minimum``."""
     step = seconds(slide)
-    windows = F.array(*[
-        F.struct((F.col("_chunk") + interval(i * step)).alias("start"), value.alias("n")) for i, value in enumerate(values)
-    ])
+    windows = ", ".join(
+        f"struct(_chunk + INTERVAL '{i * step}' SECOND AS start, {value} AS n)" for i, value in enumerate(values)
+    )
+    # Chunks without any such window are dropped before their windows are formed.
     return (
-        chunks.where(reduce(lambda a, b: a | b, [v >= minimum for v in values]))
-        .select(*keys, F.explode(windows).alias("_w"))
-        .where(F.col("_w.n") >= minimum)
-        .select(
-            *keys,
-            F.col("_w.start").alias("window_start"),
-            (F.col("_w.start") + interval(seconds(size))).alias("window_end"),
-            F.col("_w.n").alias(name),
+        chunks.where(" OR ".join(f"{value} >= {minimum}" for value in values))
+        .selectExpr(*map(_quoted, keys), f"inline(array({windows})) AS (window_start, _n)")
+        .where(f"_n >= {minimum}")
+        .selectExpr(
+            *map(_quoted, keys), "window_start", f"window_start + INTERVAL '{seconds(size)}' SECOND AS window_end", f"_n AS {_quoted(name)}"
         )
     )
 
@@ -80,14 +76,14 @@ def _emit(chunks: DataFrame, keys: list[str], values: list[Column], minimum: int
 def hop_count(
     df: DataFrame, keys: list[str], time: str, size: str, slide: str, name: str, minimum: int = 1, windows: int | None = None
 ) -> DataFrame:
-    """Rows per key and hopping window, where there are at least ``minimum``."""
+    """Rows per key and hopping window, where there are at least ``minimum``; ``windows`` is the length of a chunk."""
     panes = panes_per_window(size, slide)
     windows = windows or 2 * panes
     chunked = _chunked(df, keys, time, slide, panes, windows)
     counters = chunked.groupBy(*keys, "_chunk").agg(*[
-        F.count(F.when(F.col("_pane") == p, 1)).alias(f"_p{p}") for p in range(windows + panes - 1)
+        F.expr(f"count(CASE WHEN _pane = {p} THEN 1 END) AS _p{p}") for p in range(windows + panes - 1)
     ])
-    totals = [reduce(add, [F.col(f"_p{p}") for p in range(i, i + panes)]) for i in range(windows)]
+    totals = ["(" + " + ".join(f"_p{p}" for p in range(i, i + panes)) + ")" for i in range(windows)]
     return _emit(counters, keys, totals, max(minimum, 1), name, size, slide)
 
 
@@ -103,9 +99,9 @@ def hop_distinct(
         raise ValueError("windows without a non-null value are not formed: minimum must be at least 1")
     chunked = _chunked(df.where(F.col(value).isNotNull()), [*keys, value], time, slide, panes, windows)
     # One row per key, chunk and value; bit p says that the value occurs in pane p.
-    masks = chunked.groupBy(*keys, "_chunk", value).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_pane"))).alias("_mask")
-    )
-    seen = [F.col("_mask").bitwiseAND(F.lit(((1 << panes) - 1) << i).cast("long")) != 0 for i in range(windows)]
-    counters = masks.groupBy(*keys, "_chunk").agg(*[F.count(F.when(s, 1)).alias(f"_n{i}") for i, s in enumerate(seen)])
-    return _emit(counters, keys, [F.col(f"_n{i}") for i in range(windows)], minimum, name, size, slide)
+    masks = chunked.groupBy(*keys, "_chunk", value).agg(F.expr("bit_or(shiftleft(1L, _pane)) AS _mask"))
+    window_bits = (1 << panes) - 1
+    counters = masks.groupBy(*keys, "_chunk").agg(*[
+        F.expr(f"count(CASE WHEN _mask & {window_bits << i}L <> 0 THEN 1 END) AS _n{i}") for i in range(windows)
+    ])
+    return _emit(counters, keys, [f"_n{i}" for i in range(windows)], minimum, name, size, slide)

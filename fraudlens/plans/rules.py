@@ -50,12 +50,9 @@ def blacklist_hits(
     """Both blacklist rules in one pass over the transactions; ``_writer`` is 0 for customers, 1 for devices."""
 
     def listed(dictionary: DataFrame, key: str, writer: int) -> DataFrame:
-        return dictionary.select(F.lit(writer).alias("_writer"), F.col(key).alias("_key"), "description")
+        return dictionary.selectExpr(f"{writer} AS _writer", f"{key} AS _key", "description")
 
-    candidates = F.array(
-        F.struct(F.lit(0).alias("w"), F.col("customer_id").alias("k")), F.struct(F.lit(1).alias("w"), F.col("device_id").alias("k"))
-    )
-    looked_up = tx.withColumn("_c", F.explode(candidates)).withColumns({"_writer": F.col("_c.w"), "_key": F.col("_c.k")}).drop("_c")
+    looked_up = tx.selectExpr("*", "inline(array(struct(0 AS w, customer_id AS k), struct(1 AS w, device_id AS k))) AS (_writer, _key)")
     dictionary = listed(customers, "customer_id", 0).unionByName(listed(devices, "device_id", 1))
     joined = dictionary_join(looked_up, dictionary, ["_writer", "_key"], **join)
     return joined.withColumn("label", F.lit(label)).select(*carry, "_writer", *s.BLACKLIST_COLUMNS)

@@ -19,23 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    return f"element_at(array({', '.join(repr(v) for v in values)}), int({index} + 1))"
 
 
 def to_transactions(events: DataFrame) -> DataFrame:
     """The transaction columns, and ``event_id`` as the sequence in which they were written."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
+    k = "int(get_json_object(props, '$.k'))"
+    return events.selectExpr(
         "event_id",
-        F.concat(F.lit("TX"), F.col("event_id")).alias("transaction_id"),
-        F.concat(F.lit("C"), F.col("user_id")).alias("customer_id"),
-        F.round(F.col("value") * 100000).cast("long").alias("amount"),
-        _pick(s.LOCATIONS, k % 9).alias("location"),
-        _pick(s.MERCHANTS, F.col("event_id") % 5).alias("merchant"),
-        _pick(s.PAYMENT_METHODS, F.col("event_id") % 4).alias("payment_method"),
-        F.concat(F.lit("dev-"), k).alias("device_id"),
-        F.expr(_PRESSED).alias("timestamp"),
+        "concat('TX', event_id) AS transaction_id",
+        "concat('C', user_id) AS customer_id",
+        "bigint(round(value * 100000)) AS amount",
+        f"{_pick(s.LOCATIONS, f'{k} % 9')} AS location",
+        f"{_pick(s.MERCHANTS, 'event_id % 5')} AS merchant",
+        f"{_pick(s.PAYMENT_METHODS, 'event_id % 4')} AS payment_method",
+        f"concat('dev-', {k}) AS device_id",
+        f"{_PRESSED} AS timestamp",
     )
 
 
@@ -51,21 +51,17 @@ def transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_blacklist_customers(customer: DataFrame) -> DataFrame:
-    return customer.where("c_acctbal < 0").select(
-        F.concat(F.lit("C"), F.col("c_custkey")).alias("customer_id"), F.col("c_mktsegment").alias("description")
-    )
+    return customer.where("c_acctbal < 0").selectExpr("concat('C', c_custkey) AS customer_id", "c_mktsegment AS description")
 
 
 def to_blacklist_devices(part: DataFrame) -> DataFrame:
-    return part.where("p_size <= 5").select(
-        F.concat(F.lit("dev-"), F.col("p_partkey")).alias("device_id"), F.col("p_brand").alias("description")
-    )
+    return part.where("p_size <= 5").selectExpr("concat('dev-', p_partkey) AS device_id", "p_brand AS description")
 
 
 def to_dictionary_feed(orders: DataFrame) -> DataFrame:
     """Dictionary messages as they come in, many of them repeated; ``o_orderkey`` is their sequence."""
-    return orders.where("o_orderstatus = 'F'").select(
-        F.concat(F.lit("C"), F.col("o_custkey")).alias("customer_id"), F.col("o_orderpriority").alias("description"), "o_orderkey"
+    return orders.where("o_orderstatus = 'F'").selectExpr(
+        "concat('C', o_custkey) AS customer_id", "o_orderpriority AS description", "o_orderkey"
     )
 
 
