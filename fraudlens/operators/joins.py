@@ -23,6 +23,14 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.expr(f"sum(bigint({row} + {' + '.join(texts)}))")).first()[0] or 0
 
 
+def _never_null(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Drops NULL keys and declares the others as such. Spark else sees that only in micro-batches
+    with rows on both sides, and refuses the join state of the others for its different schema."""
+    types = {k: df.schema[k].dataType for k in keys}
+    fill = {k: F.lit("" if isinstance(dtype, T.StringType) else 0).cast(dtype) for k, dtype in types.items()}
+    return df.dropna(subset=keys).withColumns({k: F.coalesce(k, v) for k, v in fill.items()})
+
+
 def dictionary_join(
     df: DataFrame, dictionary: DataFrame, keys: list[str], how: str = "inner", broadcast_bytes: int = BROADCAST_BYTES, salts: int | None = None
 ) -> DataFrame:
@@ -48,4 +56,7 @@ def dictionary_join(
     # seeded rand is the same when a task over a source is run again, and splits equal rows too.
     salted = df.withColumn("_salt", F.floor(F.rand(7) * salts).cast("int"))
     copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    keys = [*keys, "_salt"]
+    if dictionary.isStreaming:
+        salted, copies = _never_null(salted, keys), _never_null(copies, keys)
+    return salted.join(copies, keys, how).drop("_salt")

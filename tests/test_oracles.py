@@ -1,0 +1,46 @@
+"""Every named query against the same question asked in SQL of another engine."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from conftest import DATA
+
+QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for file in os.listdir(DATA):
+        connection.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{file}'")
+    return connection
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, sql, name):
+    df = QUERIES[name](spark, DATA)
+    columns = sorted(df.columns)
+    result = sql.execute(ORACLES[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == columns
+    expected = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
+    actual = [tuple(row[c] for c in columns) for row in df.collect()]
+
+    def key(row):
+        return [(v is not None, str(v)) for v in row]
+
+    assert actual, "a query without rows shows nothing"
+    assert sorted(actual, key=key) == sorted(expected, key=key)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
