@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens import schemas as s
 from fraudlens.operators.distinct import hop_distinct_stream, late_rows_pass
-from fraudlens.operators.joins import BROADCAST_BYTES, dictionary_join
+from fraudlens.operators.joins import BROADCAST_BYTES, dictionary_join, measured_bytes
 from fraudlens.operators.latest import latest_by_key
 from fraudlens.operators.windows import hop, hop_count, hop_distinct
 
@@ -45,17 +45,31 @@ def blacklisted_devices(tx: DataFrame, devices: DataFrame, **options) -> DataFra
 
 
 def blacklist_hits(
-    tx: DataFrame, customers: DataFrame, devices: DataFrame, label: str = s.BLACKLIST_LABEL, carry: tuple[str, ...] = (), **join
+    tx: DataFrame, customers: DataFrame, devices: DataFrame, label: str = s.BLACKLIST_LABEL, carry: tuple[str, ...] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Both blacklist rules in one pass over the transactions; ``_writer`` is 0 for customers, 1 for devices."""
+    """Both blacklist rules; ``_writer`` is 0 for hits by customer, 1 for hits by device.
 
-    def listed(dictionary: DataFrame, key: str, writer: int) -> DataFrame:
-        return dictionary.selectExpr(f"{writer} AS _writer", f"{key} AS _key", "description")
-
-    looked_up = tx.selectExpr("*", "inline(array(struct(0 AS w, customer_id AS k), struct(1 AS w, device_id AS k))) AS (_writer, _key)")
-    dictionary = listed(customers, "customer_id", 0).unionByName(listed(devices, "device_id", 1))
-    joined = dictionary_join(looked_up, dictionary, ["_writer", "_key"], **join)
-    return joined.withColumn("label", F.lit(label)).select(*carry, "_writer", *s.BLACKLIST_COLUMNS)
+    Dictionaries of a measured size are looked up in one pass over the transactions, with the
+    entries of a key in one list. Larger ones are joined one by one.
+    """
+    dictionaries = {"customer_id": customers, "device_id": devices}
+    listed = {key: d.select(key, "description").dropna(subset=[key]) for key, d in dictionaries.items()}
+    if any(d.isStreaming for d in listed.values()) or measured_bytes(listed["customer_id"].union(listed["device_id"])) > broadcast_bytes:
+        parts = [
+            blacklisted(tx, d, key, label=label, carry=carry, broadcast_bytes=broadcast_bytes).withColumn("_writer", F.lit(writer))
+            for writer, (key, d) in enumerate(listed.items())
+        ]
+        return parts[0].unionByName(parts[1]).select(*carry, "_writer", *s.BLACKLIST_COLUMNS)
+    found = tx
+    for writer, (key, d) in enumerate(listed.items()):
+        entries = d.groupBy(key).agg(F.expr(f"collect_list(struct({writer} AS w, description AS d)) AS _hits{writer}"))
+        found = found.join(F.broadcast(entries), key, "left")
+    hits = "CASE WHEN _hits1 IS NULL THEN _hits0 WHEN _hits0 IS NULL THEN _hits1 ELSE concat(_hits0, _hits1) END"
+    return (
+        found.where("_hits0 IS NOT NULL OR _hits1 IS NOT NULL")
+        .select(*carry, *s.TRANSACTION_COLUMNS, F.lit(label).alias("label"), F.expr(f"inline({hits}) AS (_writer, description)"))
+    )
 
 
 def blacklist_latest(tx: DataFrame, customers: DataFrame, devices: DataFrame, sequence: str, **options) -> DataFrame:

@@ -76,7 +76,10 @@ def test_both_blacklists_in_one_pass(tx, customers, devices):
     both = rules.blacklist_hits(tx, customers, devices).select(*s.BLACKLIST_COLUMNS)
     apart = rules.blacklisted_customers(tx, customers).unionByName(rules.blacklisted_devices(tx, devices))
     assert rows(both) == rows(apart)
-    assert plan(both).count("BroadcastHashJoin") == 1
+    assert plan(both).count("Scan ExistingRDD[transaction_id") == 1
+    large = rules.blacklist_hits(tx, customers, devices, broadcast_bytes=0)
+    assert rows(large, *s.BLACKLIST_COLUMNS) == rows(apart)
+    assert {r["_writer"] for r in large.where("description = 'dev'").collect()} == {1}
 
 
 def test_device_hits_win_over_customer_hits_in_the_keyed_table(tx, customers, devices):
