@@ -14,6 +14,7 @@ from fraudlens.operators.latest import latest_by_key
 from fraudlens.plans import monitor, rules
 from fraudlens.session import shared_folder, stream_session
 from fraudlens.sources import driver_tables as t
+from fraudlens.sources.messages import decoded
 from fraudlens.streaming import jobs, sinks
 from fraudlens.streaming.upsert import UpsertLog
 
@@ -195,6 +196,13 @@ def encode_unkeyed(spark, sf_dir):
     return sinks.messages(rules.device_sharing(t.transactions(spark, sf_dir)), "device_alerts_append")
 
 
+@query
+def alerts_from_messages(spark, sf_dir):
+    """Device alerts written as messages and read back, as the landing jobs do."""
+    alerts = sinks.messages(rules.device_sharing(t.transactions(spark, sf_dir)), "device_alerts")
+    return _wall_clock(decoded(alerts, "device_alerts"), "window_start", "window_end")
+
+
 @query
 def normalised_places(spark, sf_dir):
     tx = t.transactions(spark, sf_dir).withColumn("location", F.concat(F.lit(" "), F.initcap("location")))

@@ -132,6 +132,7 @@ FROM ({TX_LATEST})""",
   {_json(['customer_id', 'tx_count', 'window_start', 'window_end'])} AS "value" FROM ({VELOCITY_BY_WINDOW})""",
     "encode_unkeyed": f"""WITH {TX} SELECT
   {_json(['device_id', 'window_start', 'window_end', 'distinct_customers', 'alert_message'])} AS "value" FROM ({DEVICE})""",
+    "alerts_from_messages": f"WITH {TX} {DEVICE}",
     "normalised_places": f"WITH {TX} {GEO}",
     "panel_counts": """SELECT date_trunc('hour', ts) AS "time", event_type, count(*) AS n FROM events
 GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100000""",

@@ -145,8 +145,9 @@ def copy(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def distinct_entries(dictionary: DataFrame) -> DataFrame:
-    return dictionary.distinct()
+def distinct_entries(dictionary: DataFrame, within_watermark: bool = False) -> DataFrame:
+    """Each entry once. A stream keeps every entry for good, or with a watermark only for its delay."""
+    return dictionary.dropDuplicatesWithinWatermark() if within_watermark else dictionary.distinct()
 
 
 def latest_transactions(tx: DataFrame, sequence: Column, columns: list[str] | None = None) -> DataFrame:

@@ -54,9 +54,20 @@ TRANSACTIONS_NARROW = _struct(
 )
 BLACKLIST_CUSTOMERS = _struct(("customer_id", S), ("description", S))
 BLACKLIST_DEVICES = _struct(("device_id", S), ("description", S))
+BLACKLIST = _struct(*[(f.name, f.dataType) for f in TRANSACTIONS], ("label", S), ("description", S))
+
+
+def _alerts(key: str, count: str) -> T.StructType:
+    return _struct((key, S), ("window_start", TS), ("window_end", TS), (count, L), ("alert_message", S))
+
+
+VELOCITY_ALERTS = _alerts("customer_id", "txn_count")
+GEOLOCATION_ALERTS = _alerts("customer_id", "distinct_locations")
+DEVICE_ALERTS = _alerts("device_id", "distinct_customers")
+VELOCITY_FRAUD = _struct(("customer_id", S), ("tx_count", L), ("window_start", TS), ("window_end", TS))
 
 TRANSACTION_COLUMNS = TRANSACTIONS.fieldNames()
-BLACKLIST_COLUMNS = [*TRANSACTION_COLUMNS, "label", "description"]
+BLACKLIST_COLUMNS = BLACKLIST.fieldNames()
 
 # Record key of every output; an empty list marks an unkeyed append stream.
 OUTPUT_KEYS = {

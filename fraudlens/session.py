@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Event times carry no zone, so sessions run in UTC. Join and window state without a bound
-# belongs on disk. The Bloom filter lets a large dictionary thin out the transactions
-# before they are shuffled to it.
+# belongs on disk; its changes are uploaded per micro-batch, and snapshots in the background.
+# The Bloom filter lets a large dictionary thin out the transactions before they are shuffled.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 

@@ -7,16 +7,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from fraudlens import schemas as s
 from fraudlens.functions.records import decode_lenient, decode_strict
 
-# The topics of the inputs; earlier dictionary topics lack the suffix.
+# The topics of the relations; earlier dictionary topics lack the suffix.
 TOPICS = {
     "transactions": "transactions-stream",
     "blacklist_customers": "blacklist_customers_list",
     "blacklist_devices": "blacklist_devices_list",
+    "big_amount": "big_amount",
+    "blacklist": "blacklist",
+    "velocity_alerts": "velocity_alerts",
+    "geolocation_alerts": "geolocation_alerts",
+    "device_alerts": "device_alerts",
+    "velocity_fraud": "velocity_fraud",
 }
 SCHEMAS = {
     "transactions": s.TRANSACTIONS,
     "blacklist_customers": s.BLACKLIST_CUSTOMERS,
     "blacklist_devices": s.BLACKLIST_DEVICES,
+    "big_amount": s.TRANSACTIONS,
+    "blacklist": s.BLACKLIST,
+    "velocity_alerts": s.VELOCITY_ALERTS,
+    "geolocation_alerts": s.GEOLOCATION_ALERTS,
+    "device_alerts": s.DEVICE_ALERTS,
+    "velocity_fraud": s.VELOCITY_FRAUD,
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from fraudlens import schemas as s
-from fraudlens.functions.records import with_event_time, decode_lenient
+from fraudlens.functions.records import decode_lenient, decode_strict, with_event_time
 from fraudlens.operators.distinct import ALLOW_MULTIPLE
 from fraudlens.plans import rules
 from fraudlens.session import create_session, require_utc
@@ -32,9 +32,13 @@ def _velocity_by_window(read: Read) -> DataFrame:
     return rules.velocity_by_window(rules.with_watermark(timed, "event_time"))
 
 
+def _landed(relation: str) -> tuple[str, str | None, Callable[[Read], DataFrame]]:
+    time = "window_start" if "window_start" in m.SCHEMAS[relation].fieldNames() else "timestamp"
+    return relation, time, lambda read: m.decoded(read(relation), relation)
+
+
 # Relation written, its event time for landing, and the rule over the message streams.
 JOBS: dict[str, tuple[str, str | None, Callable[[Read], DataFrame]]] = {
-    "transactions": ("transactions", "timestamp", _transactions),
     "big_amount": ("big_amount", "timestamp", lambda r: rules.big_amount(_transactions(r))),
     "blacklist_customers": ("blacklist", "timestamp", lambda r: rules.blacklisted_customers(
         _transactions(r), m.decoded(r("blacklist_customers"), "blacklist_customers"))),
@@ -44,10 +48,15 @@ JOBS: dict[str, tuple[str, str | None, Callable[[Read], DataFrame]]] = {
     "geolocation_alerts": ("geolocation_alerts", "window_start", lambda r: rules.geolocation(rules.with_watermark(_transactions(r)))),
     "device_alerts": ("device_alerts", "window_start", lambda r: rules.device_sharing(rules.with_watermark(_transactions(r)))),
     "velocity_fraud": ("velocity_fraud", "window_start", _velocity_by_window),
+    "relational_transactions": ("transactions", "timestamp", lambda r: rules.copy(
+        decode_strict(r("transactions"), s.TRANSACTIONS_RELATIONAL), s.TRANSACTIONS_RELATIONAL.fieldNames())),
     "customer_entries": ("blacklist_customers", None, lambda r: rules.distinct_entries(
         m.decoded(r("blacklist_customers"), "blacklist_customers", strict=True))),
     "device_entries": ("blacklist_devices", None, lambda r: rules.distinct_entries(
         m.decoded(r("blacklist_devices"), "blacklist_devices", strict=True))),
+    # The topics of transactions and alerts as they are, for the analytical store.
+    **{f"land_{relation}": _landed(relation) for relation in (
+        "transactions", "big_amount", "blacklist", "geolocation_alerts", "device_alerts", "velocity_alerts")},
 }
 
 
@@ -100,6 +109,7 @@ def main(arguments: list[str] | None = None) -> None:
     source.add_argument("--files", help="folder with one subfolder of JSON lines per input")
     source.add_argument("--servers", help="Kafka bootstrap servers, read and written")
     parser.add_argument("--group", help="Kafka consumer group")
+    parser.add_argument("--source-topic", action="append", default=[], metavar="INPUT=TOPIC", help="read an input from another topic")
     sink = parser.add_mutually_exclusive_group()
     sink.add_argument("--land", help="folder of the Parquet table to append to")
     sink.add_argument("--topic", help="Kafka topic to write; default: the relation's name")
@@ -111,6 +121,7 @@ def main(arguments: list[str] | None = None) -> None:
     if a.files and not (a.land or a.console):
         parser.error("reading files needs --land or --console")
 
+    topics = {**m.TOPICS, **dict(pair.split("=", 1) for pair in a.source_topic)}
     spark = create_session(a.job)
     if a.strict_lateness:
         strict_lateness(spark)
@@ -118,7 +129,7 @@ def main(arguments: list[str] | None = None) -> None:
     def read(relation: str) -> DataFrame:
         if a.files:
             return m.from_files(spark, f"{a.files}/{relation}")
-        return m.from_kafka(spark, m.kafka_read_options(a.servers, m.TOPICS[relation], a.group))
+        return m.from_kafka(spark, m.kafka_read_options(a.servers, topics[relation], a.group))
 
     relation, time, _ = JOBS[a.job]
     df = rule_stream(spark, a.job, read)

@@ -174,6 +174,30 @@ def test_distinct_entries_over_micro_batches(session, tmp_path):
     assert rows(drain(session, rules.distinct_entries(df), tmp_path)) == [("a", None), ("a", "x")]
 
 
+def test_distinct_entries_within_a_bound(session, feed, tmp_path):
+    feed.add(record(1, "00:00:01"), record(1, "00:00:01"), record(2, "00:00:02"))
+    feed.add(record(1, "00:00:01"))
+    df = rules.distinct_entries(rules.with_watermark(transactions(session, feed)), within_watermark=True)
+    assert rows(drain(session, df, tmp_path), "transaction_id") == [("TX1",), ("TX2",)]
+
+
+def test_console(session, feed, tmp_path):
+    feed.add(record(1, "00:00:01"))
+    query = jobs.start(sinks.to_console(transactions(session, feed)), str(tmp_path / "checkpoint"), available_now=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1
+
+
+def test_the_rules_can_be_asked_in_sql(spark):
+    tx = driver_tables.transactions(spark, DATA)
+    tx.createOrReplaceTempView("transactions")
+    windowed = spark.sql("""
+        SELECT customer_id, w.start AS window_start, w.end AS window_end, count(*) AS txn_count
+        FROM (SELECT customer_id, window(`timestamp`, '1 minute', '10 seconds') AS w FROM transactions)
+        GROUP BY customer_id, w HAVING count(*) >= 5""")
+    assert rows(windowed) == rows(rules.velocity(tx).drop("alert_message"))
+
+
 def test_upserts_over_micro_batches(session, feed, tmp_path):
     feed.add(record(1, "00:00:01", location="old"), record(1, "00:00:02", location="newer"))
     feed.add(record(1, "00:00:03", location="newest"), record(2, "00:00:01", location="other"))
@@ -197,14 +221,19 @@ def test_every_job_runs_from_the_command_line(spark, tmp_path, job):
         + [record(9, "00:20:00", customer="z", device="z"), record(10, "00:40:00", customer="z", device="z")],
         "blacklist_customers": [{"customer_id": "a", "description": "x"}],
         "blacklist_devices": [{"device_id": "d", "description": "x"}],
+        "big_amount": [record(1, "00:00:01")],
+        "blacklist": [record(1, "00:00:01", label="l", description="x"), "not json"],
     }
+    for alerts, key in (("velocity_alerts", "customer_id"), ("geolocation_alerts", "customer_id"), ("device_alerts", "device_id")):
+        inputs[alerts] = [{key: "a", "window_start": f"2024-01-01 00:0{i}:00", "window_end": "2024-01-01 00:09:00", "alert_message": "m"} for i in range(3)]
     (tmp_path / "in").mkdir()
     for relation, records in inputs.items():
         feed = Feed(tmp_path / "in" / relation)
         feed.add(*records)
     jobs.main([job, "--files", str(tmp_path / "in"), "--land", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "checkpoint"), "--available-now"])
     expected = {
-        "transactions": 8, "big_amount": 6, "blacklist_customers": 6, "blacklist_devices": 6, "velocity_alerts": 6, "geolocation_alerts": 5,
+        "land_transactions": 8, "relational_transactions": 8, "land_big_amount": 1, "land_blacklist": 1, "land_velocity_alerts": 3,
+        "land_geolocation_alerts": 3, "land_device_alerts": 3, "big_amount": 6, "blacklist_customers": 6, "blacklist_devices": 6, "velocity_alerts": 6, "geolocation_alerts": 5,
         "device_alerts": 5, "velocity_fraud": 6, "customer_entries": 1, "device_entries": 1,
     }
     assert spark.read.parquet(str(tmp_path / "out")).count() == expected[job]
