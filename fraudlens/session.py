@@ -21,24 +21,31 @@ SETTINGS = {
 }
 
 
+def _apply_settings(spark: SparkSession) -> SparkSession:
+    """What was given to spark-submit or to the builder stays."""
+    given = dict(spark.sparkContext.getConf().getAll())
+    for key, value in SETTINGS.items():
+        if key not in given:
+            spark.conf.set(key, value)
+    return spark
+
+
 def create_session(name: str = "fraudlens", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return _apply_settings(builder.getOrCreate())
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session of the same application for streams; the settings of ``spark`` stay as they are.
 
-    The number of state partitions is fixed by a stream's first run: take what the user set,
-    or else one per core of the cluster.
+    The number of state partitions is fixed by a stream's first run: the one asked for, or the
+    one the application was started with, or else one per core of the cluster.
     """
-    session = spark.newSession()
-    for key, value in SETTINGS.items():
-        session.conf.set(key, value)
-    default = spark.sparkContext.getConf().get("spark.sql.shuffle.partitions")
-    session.conf.set("spark.sql.shuffle.partitions", default or str(spark.sparkContext.defaultParallelism))
+    session = _apply_settings(spark.newSession())
+    default = spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or default))
     return session
 
 

@@ -15,7 +15,7 @@ from fraudlens import schemas as s
 from fraudlens.functions.records import decode_lenient, decode_strict, with_event_time
 from fraudlens.operators.distinct import ALLOW_MULTIPLE
 from fraudlens.plans import rules
-from fraudlens.session import create_session, require_utc
+from fraudlens.session import create_session, require_utc, stream_session
 from fraudlens.sources import messages as m
 from fraudlens.streaming import sinks
 
@@ -115,6 +115,10 @@ def main(arguments: list[str] | None = None) -> None:
     sink.add_argument("--topic", help="Kafka topic to write; default: the relation's name")
     sink.add_argument("--console", action="store_true")
     parser.add_argument("--checkpoint", help="default: below spark.checkpoint.dir")
+    parser.add_argument("--max-files", type=int, default=1_000, help="files per micro-batch")
+    parser.add_argument("--max-offsets", type=int, default=20_000_000, help="Kafka messages per micro-batch")
+    parser.add_argument("--interval", default="10 seconds", help="time between micro-batches; longer ones land fewer, larger files")
+    parser.add_argument("--partitions", type=int, help="state partitions, fixed by the first run; default: one per core")
     parser.add_argument("--available-now", action="store_true", help="process what is there and stop")
     parser.add_argument("--strict-lateness", action="store_true")
     a = parser.parse_args(arguments)
@@ -122,14 +126,14 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error("reading files needs --land or --console")
 
     topics = {**m.TOPICS, **dict(pair.split("=", 1) for pair in a.source_topic)}
-    spark = create_session(a.job)
+    spark = stream_session(create_session(a.job), a.partitions)
     if a.strict_lateness:
         strict_lateness(spark)
 
     def read(relation: str) -> DataFrame:
         if a.files:
-            return m.from_files(spark, f"{a.files}/{relation}")
-        return m.from_kafka(spark, m.kafka_read_options(a.servers, topics[relation], a.group))
+            return m.from_files(spark, f"{a.files}/{relation}", max_files=a.max_files)
+        return m.from_kafka(spark, m.kafka_read_options(a.servers, topics[relation], a.group, max_offsets=a.max_offsets))
 
     relation, time, _ = JOBS[a.job]
     df = rule_stream(spark, a.job, read)
@@ -139,7 +143,7 @@ def main(arguments: list[str] | None = None) -> None:
         writer = sinks.to_console(df)
     else:
         writer = sinks.to_kafka(df, relation, a.servers, a.topic)
-    start(writer, a.checkpoint or checkpoint_folder(spark, a.job), a.available_now).awaitTermination()
+    start(writer, a.checkpoint or checkpoint_folder(spark, a.job), a.available_now, a.interval).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -142,6 +142,26 @@ def test_an_entry_flags_transactions_before_and_after_it(session, feed, tmp_path
     assert rows(run(), "transaction_id", "description") == [("TX1", "one"), ("TX1", "two"), ("TX2", "one"), ("TX2", "two")]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_large_dictionary_table_is_joined_by_shuffle(spark, session, feed, tmp_path, how):
+    feed.add(record(1, "00:00:01"), record(2, "00:00:02", customer="b"))
+    feed.add(record(3, "00:00:03"), record(4, "00:00:04", customer=None))
+    entries = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], s.BLACKLIST_CUSTOMERS)
+    entries.write.parquet(str(tmp_path / "entries"))
+    listed = session.read.parquet(str(tmp_path / "entries"))
+    df = rules.blacklisted_customers(transactions(session, feed), listed, how=how, broadcast_bytes=0)
+    matched = [("TX1", "x"), ("TX1", "y"), ("TX3", "x"), ("TX3", "y")]
+    unmatched = [("TX2", None), ("TX4", None)] if how == "left" else []
+    assert set(rows(drain(session, df, tmp_path), "transaction_id", "description")) == {*matched, *unmatched}
+
+
+def test_settings_given_by_the_user_stay(spark, session):
+    assert session.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert stream_session(spark, 3).conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_a_left_join_of_two_streams_is_refused(session, feed):
     feed.add(record(1, "00:00:01"))
     tx = transactions(session, feed)
