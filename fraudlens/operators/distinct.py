@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.operators.windows import panes_per_window
 
 ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
-def late_rows_pass(spark: SparkSession) -> bool:
-    """Whether Spark still takes rows that are up to one micro-batch behind the watermark."""
-    return spark.conf.get(ALLOW_MULTIPLE, "true").lower() != "false"
-
-
 def hop_distinct_stream(
     df: DataFrame, keys: list[str], value: str, time: str, size: str, slide: str, name: str, strategy: str
 ) -> DataFrame:
-    """Strategy ``set`` keeps the values of a window in one state row: for values with few kinds.
-    Strategy ``two_stage`` spreads them over the state partitions: for keys shared by many values.
+    """Strategy ``set`` keeps the values of a window in one state row: for values of a bounded number.
+    Strategy ``two_stage`` spreads them over the state partitions: for keys that many values share.
 
     Spark accepts rows up to one micro-batch later than the watermark says. Switching off
     ``allowMultiple`` drops them at once, but then a chain of two stages silently yields nothing,
@@ -29,8 +24,8 @@ def hop_distinct_stream(
     if strategy == "set":
         counted = df.groupBy(*keys, window).agg(F.size(F.collect_set(value)).cast("long").alias(name))
     elif strategy == "two_stage":
-        if not late_rows_pass(df.sparkSession):
-            raise ValueError("strategy two_stage needs " + ALLOW_MULTIPLE + "=true; use strategy set for strict lateness")
+        if df.sparkSession.conf.get(ALLOW_MULTIPLE, "true").lower() == "false":
+            raise ValueError(f"strategy two_stage needs {ALLOW_MULTIPLE}=true; strict lateness needs strategy set")
         counted = df.groupBy(*keys, window, value).count().groupBy(*keys, "window").agg(F.count(value).alias(name))
     else:
         raise ValueError(f"strategy must be set or two_stage, not {strategy}")

@@ -52,9 +52,11 @@ def dictionary_join(
     elif how == "left":
         raise ValueError("a left join of two streams has no final result without a time bound")
     salts = salts or 16
-    # Each row has one salt and meets the dictionary rows of that salt, which are all of them. A
-    # seeded rand is the same when a task over a source is run again, and splits equal rows too.
-    salted = df.withColumn("_salt", F.floor(F.rand(7) * salts).cast("int"))
+    # Each row has one salt and meets the dictionary rows of that salt, which are all of them. The
+    # salt is the same in whatever order a task that is run again sees its rows, and the partition
+    # number splits large groups of equal rows.
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(salts)).cast("int"))
     copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keys = [*keys, "_salt"]
     if dictionary.isStreaming:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens import schemas as s
-from fraudlens.operators.distinct import hop_distinct_stream, late_rows_pass
+from fraudlens.operators.distinct import hop_distinct_stream
 from fraudlens.operators.joins import BROADCAST_BYTES, dictionary_join, measured_bytes
 from fraudlens.operators.latest import latest_by_key
 from fraudlens.operators.windows import hop, hop_count, hop_distinct
@@ -132,10 +132,9 @@ def geolocation(
 
 
 def device_sharing(
-    tx: DataFrame, minimum: int = s.DEVICE_MIN_CUSTOMERS, message: str = s.DEVICE_MESSAGE, strategy: str | None = None
+    tx: DataFrame, minimum: int = s.DEVICE_MIN_CUSTOMERS, message: str = s.DEVICE_MESSAGE, strategy: str = "two_stage"
 ) -> DataFrame:
     """Devices used by many customers within five minutes."""
-    strategy = strategy or ("two_stage" if late_rows_pass(tx.sparkSession) else "set")
     counted = _distinct(tx, "device_id", "customer_id", s.DEVICE_SIZE, s.DEVICE_SLIDE, "distinct_customers", minimum, strategy)
     return counted.withColumn("alert_message", F.lit(message))
 

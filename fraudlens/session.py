@@ -24,7 +24,9 @@ SETTINGS = {
 def _apply_settings(spark: SparkSession) -> SparkSession:
     """What was given to spark-submit or to the builder stays."""
     given = dict(spark.sparkContext.getConf().getAll())
-    for key, value in SETTINGS.items():
+    # Adaptive execution joins small partitions, but never makes more of them than it began with.
+    begin = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * spark.sparkContext.defaultParallelism)}
+    for key, value in {**SETTINGS, **begin}.items():
         if key not in given:
             spark.conf.set(key, value)
     return spark

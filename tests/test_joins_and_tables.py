@@ -53,6 +53,14 @@ def test_join_beyond_the_broadcast_size_gives_the_same_rows(spark, tx, customers
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_the_salt_splits_a_group_of_equal_rows(spark):
+    copies = spark.range(8000, numPartitions=8).selectExpr("'a' AS customer_id", "1 AS x")
+    entries = spark.createDataFrame([("a", "one")], s.BLACKLIST_CUSTOMERS)
+    joined = dictionary_join(copies, entries, ["customer_id"], broadcast_bytes=0, salts=8)
+    assert joined.count() == 8000
+    assert "SPARK_PARTITION_ID()" in plan(joined)
+
+
 def test_left_join_keeps_every_transaction(tx, customers):
     joined = rules.blacklisted_customers(tx, customers, how="left")
     assert joined.count() == 40 * 3 + 1 + 2

@@ -86,7 +86,7 @@ def test_strict_lateness_refuses_two_stages(session, feed):
     tx = rules.with_watermark(transactions(session, feed))
     with pytest.raises(ValueError, match="two_stage"):
         rules.device_sharing(tx, strategy="two_stage")
-    rules.device_sharing(tx)
+    rules.device_sharing(tx, strategy="set")
     with pytest.raises(ValueError, match="strategy"):
         rules.device_sharing(tx, strategy="guess")
     assert session.conf.get(ALLOW_MULTIPLE) == "false"
