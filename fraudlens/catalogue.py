@@ -40,12 +40,12 @@ def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def big_amount(spark, sf_dir):
-    return rules.big_amount(t.transactions(spark, sf_dir))
+    return rules.big_amount(t.transactions(spark, sf_dir, above=s.BIG_AMOUNT))
 
 
 @query
 def big_amount_latest(spark, sf_dir):
-    tx = _by_second(t.transactions(spark, sf_dir)).where(F.col("amount") > s.BIG_AMOUNT)
+    tx = _by_second(t.transactions(spark, sf_dir, above=s.BIG_AMOUNT)).where(F.col("amount") > s.BIG_AMOUNT)
     return rules.latest_transactions(tx, F.col("event_id"))
 
 
@@ -302,7 +302,7 @@ def alert_rollup(spark, sf_dir):
     hits = rules.blacklist_hits(tx, t.blacklist_customers(spark, sf_dir), t.blacklist_devices(spark, sf_dir))
     return monitor.alert_rollup(
         {
-            "big_amount": (rules.big_amount(tx), "timestamp"),
+            "big_amount": (rules.big_amount(t.transactions(spark, sf_dir, above=s.BIG_AMOUNT)), "timestamp"),
             "blacklist": (hits, "timestamp"),
             "velocity_alerts": (rules.velocity(tx), "window_start"),
             "geolocation_alerts": (rules.geolocation(tx), "window_start"),

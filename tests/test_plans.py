@@ -51,6 +51,10 @@ def test_stored_amounts_are_filtered_in_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(amount), GreaterThan(amount,10000000)]" in text
 
 
+def test_computed_amounts_are_filtered_in_the_scan_by_the_stored_value(spark):
+    assert "GreaterThan(value,99.0)" in plan(QUERIES["big_amount"](spark, DATA))
+
+
 def test_windows_are_counted_before_the_shuffle(spark):
     for name in ("velocity_alerts", "geolocation_alerts", "device_alerts"):
         text = plan(QUERIES[name](spark, DATA))
