@@ -268,7 +268,7 @@ def panel_distinct_ids(spark, sf_dir):
 @query
 def panel_avg(spark, sf_dir):
     averages = monitor.averages(t.table(spark, sf_dir, "events"), "ts", "event_type", "value", "1 hour")
-    return averages.withColumn("avg_value", F.round("avg_value", 6))
+    return averages.withColumn("avg_value", F.round("avg_value", 10))
 
 
 @query

@@ -151,7 +151,7 @@ ORDER BY ts DESC, value DESC LIMIT 1000""",
     "panel_page": "SELECT ts, props, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000",
     "panel_distinct": "SELECT DISTINCT event_type FROM events",
     "panel_distinct_ids": "SELECT DISTINCT user_id FROM events WHERE event_type = 'error' ORDER BY user_id LIMIT 100",
-    "panel_avg": """SELECT date_trunc('hour', ts) AS "time", event_type, round(avg(value), 6) AS avg_value FROM events
+    "panel_avg": """SELECT date_trunc('hour', ts) AS "time", event_type, round(avg(value), 10) AS avg_value FROM events
 GROUP BY 1, 2 ORDER BY 1, 2""",
     "panel_avg_text": """SELECT ts AS "time", event_type, CAST(avg(value) AS VARCHAR) AS avg_value FROM events
 GROUP BY 1, 2 ORDER BY 1, 2""",
