@@ -46,9 +46,10 @@ def dictionary_join(
     if not dictionary.isStreaming:
         if measured_bytes(listed) <= broadcast_bytes:
             return df.join(F.broadcast(listed), keys, how)
+        # With the hint, Spark's own estimate from the size of compressed files does not broadcast it
+        # after all. Adaptive execution splits the skewed partitions of a sort-merge join.
         if not df.isStreaming and (salts or 1) == 1:
-            # No Spark hint: adaptive execution splits skewed partitions of a sort-merge join.
-            return df.join(listed, keys, how)
+            return df.join(listed.hint("merge"), keys, how)
     elif how == "left":
         raise ValueError("a left join of two streams has no final result without a time bound")
     salts = salts or 16
@@ -61,4 +62,6 @@ def dictionary_join(
     keys = [*keys, "_salt"]
     if dictionary.isStreaming:
         salted, copies = _never_null(salted, keys), _never_null(copies, keys)
+    else:
+        copies = copies.hint("merge")
     return salted.join(copies, keys, how).drop("_salt")

@@ -46,11 +46,14 @@ def test_join_beyond_the_broadcast_size_gives_the_same_rows(spark, tx, customers
     large = dictionary_join(tx, customers, ["customer_id"], how, broadcast_bytes=0, salts=salts)
     assert "Broadcast" in plan(small)
     assert rows(large, *small.columns) == rows(small)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "Broadcast" not in plan(dictionary_join(tx, customers, ["customer_id"], how, broadcast_bytes=0, salts=salts))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" not in plan(large) and "SortMergeJoin" in plan(large)
+
+
+def test_a_small_file_does_not_make_a_large_dictionary_a_broadcast(spark, tx, customers, tmp_path):
+    customers.write.parquet(str(tmp_path / "entries"))
+    stored = spark.read.parquet(str(tmp_path / "entries"))
+    for salts in (1, 4):
+        assert "Broadcast" not in plan(dictionary_join(tx, stored, ["customer_id"], broadcast_bytes=0, salts=salts))
 
 
 def test_the_salt_splits_a_group_of_equal_rows(spark):
