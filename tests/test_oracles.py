@@ -9,8 +9,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import DATA
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from fraudlens.catalogue import QUERIES
+from fraudlens.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def sql():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
