@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudlens.llm import substring_dedup
+from fraudlens.llm import near_dedup, substring_dedup
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_substring_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs, keep_text=False)
+
+
+@query
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
