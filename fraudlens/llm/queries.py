@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudlens.llm import near_dedup, substring_dedup
+from fraudlens.llm import embedding_dedup, near_dedup, substring_dedup, topk
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,15 @@ def op3_substring_dedup(spark, sf_dir):
 @query
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_topk(spark, sf_dir):
+    """Every fiftieth vector against all."""
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows)
+
+
+@query
+def op10_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
