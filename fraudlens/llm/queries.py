@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import embedding_dedup, near_dedup, substring_dedup, topk
+from fraudlens.llm import embedding_dedup, language, near_dedup, pii, substring_dedup, topk
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,19 @@ def op8_topk(spark, sf_dir):
 @query
 def op10_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_personal_data(docs, keep_text=False).drop("found")
+
+
+@query
+def op7_language(spark, sf_dir):
+    """A quarter of the documents, by their ids, is never learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language.fit(docs.where(~fold))
+    rows = docs.select("doc_id", "text", F.coalesce(fold, F.lit(False)).alias("held_out"))
+    return language.with_language(rows, model).drop("text")
