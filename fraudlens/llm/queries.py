@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import embedding_dedup, language, near_dedup, pii, substring_dedup, topk
+from fraudlens.llm import embedding_dedup, language, near_dedup, pii, quality, substring_dedup, topk
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,12 @@ def op7_language(spark, sf_dir):
     model = language.fit(docs.where(~fold))
     rows = docs.select("doc_id", "text", F.coalesce(fold, F.lit(False)).alias("held_out"))
     return language.with_language(rows, model).drop("text")
+
+
+@query
+def op2_quality(spark, sf_dir):
+    """Grades of the labels: 0 toxic, 1 of low quality, 2 neither."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    rated = docs.select("doc_id", "text").join(labels.select("doc_id", grade.alias("grade")), "doc_id")
+    return quality.with_quality(docs.select("doc_id", "text"), quality.fit(rated)).drop("text")
