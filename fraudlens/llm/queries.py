@@ -7,13 +7,15 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import embedding_dedup, language, near_dedup, pii, quality, substring_dedup, topk
+from fraudlens.llm import embedding_dedup, language, near_dedup, packing, pieces, pii, quality, substring_dedup, topk
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def query(function: Query) -> Query:
     @wraps(function)
@@ -75,3 +77,15 @@ def op2_quality(spark, sf_dir):
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     rated = docs.select("doc_id", "text").join(labels.select("doc_id", grade.alias("grade")), "doc_id")
     return quality.with_quality(docs.select("doc_id", "text"), quality.fit(rated)).drop("text")
+
+
+@query
+def op6_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pieces(spark, sf_dir):
+    """Ids of every document, and whether decoding them gives the text back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.with_pieces(docs, pieces.load(VOCABULARY), check=True).drop("text")
