@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fraudlens.llm import embedding_dedup, language, near_dedup, packing, pieces, pii, quality, substring_dedup, topk
+from fraudlens.llm import embedding_dedup, html, language, near_dedup, packing, pieces, pii, quality, substring_dedup, topk
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,9 @@ def op9_pieces(spark, sf_dir):
     """Ids of every document, and whether decoding them gives the text back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.with_pieces(docs, pieces.load(VOCABULARY), check=True).drop("text")
+
+
+@query
+def op1_html(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return html.with_main_text(pages, html.fit(pages))
