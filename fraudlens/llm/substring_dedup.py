@@ -192,8 +192,8 @@ def _cut(id_column: str, text_column: str, k: int, keep_text: bool, names: list[
         removed = np.add.reduceat(np.append(gone, False), first[:-1]) * (np.diff(first) > 0) if len(ids) else np.zeros(0)
         out = {n: table[n] for n in names}
         if keep_text:
-            whole = table[text_column].combine_chunks()
-            out[text_column] = pa.array([k.decode() if v else None for k, v in zip(kept, whole.is_valid().to_pylist(), strict=True)], pa.string())
+            old = table[text_column].to_pylist()
+            out[text_column] = pa.array([k.decode() if n else t for k, n, t in zip(kept, removed, old, strict=True)], pa.string())
         return pa.table(out | {
             "n_words": pa.array(np.diff(first).astype(np.int64)),
             "n_removed": pa.array(removed.astype(np.int64)),
@@ -226,9 +226,10 @@ def _kept(text: w.Columns, keep: np.ndarray, first: np.ndarray) -> list[bytes]:
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = 13, seed: int = 7, keep_text: bool = True) -> DataFrame:
     """Removes each word that a window of ``k`` words covers which a document with a smaller id has.
 
-    Returns all columns and rows of ``docs`` with, in ``text_column``, the kept words joined by one
-    space (left out if ``keep_text`` is false), and ``n_words``, ``n_removed``, ``kept_sha256`` and
-    ``spans``; columns of these names are replaced. Null and empty texts have no words and stay as
+    Returns all columns and rows of ``docs``; in ``text_column`` (left out if ``keep_text`` is false)
+    the kept words joined by one space, or the text as it was if it loses nothing; and ``n_words``,
+    ``n_removed``, ``kept_sha256`` (of the kept words, joined) and ``spans``; columns of these names
+    are replaced. Null and empty texts have no words and stay as
     they are; texts shorter than ``k`` words lose nothing; a row without an id is neither a source nor
     changed; rows of the same id are no sources of each other. An empty table gives an empty result.
     """
