@@ -4,7 +4,7 @@ A cumulative-link model says that a text reaches grade ``k`` with chance ``sigmo
 ``t_1 < t_2 < ...`` and the same score ``s`` for all grades. The score is a sum of weights of the
 text's distinct words, hashed to ``FEATURES`` columns, and of its ``SHAPES``. Weights are fitted by
 follow the regularised leader, whose L1 penalty leaves words without evidence at zero, on about
-``SAMPLE`` of the rated texts, chosen by a hash of their text.
+``SAMPLE`` of the rated texts, chosen by a hash of their id.
 """
 
 from __future__ import annotations
@@ -63,8 +63,15 @@ def features(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key % np.uint64(FEATURES)).astype(np.int64), bounds, shapes
 
 
-def _rated(batches):
+def _slices(batches, text_column: str):
+    """Rows of the batches, about a megabyte of text at a time."""
     for batch in batches:
+        for row, end in w.slices(w.columns(batch.column(text_column))):
+            yield batch.slice(row, end - row)
+
+
+def _rated(batches):
+    for batch in _slices(batches, "text"):
         at, bounds, shapes = features(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
             [batch.column("grade"), w.binary(at.astype(np.int32), bounds), w.binary(shapes.reshape(-1), np.arange(len(shapes) + 1) * SHAPES)],
@@ -76,18 +83,20 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(rated: DataFrame, text_column: str = "text", grade_column: str = "grade", grades: int = 3, sample: int = SAMPLE) -> Model | None:
-    """A model of texts with grades from 0 to ``grades - 1``; none if there are no rated texts.
+def fit(docs: DataFrame, ratings: DataFrame, id_column: str = "doc_id", text_column: str = "text", grade_column: str = "grade", grades: int = 3, sample: int = SAMPLE) -> Model | None:
+    """A model of the documents that ``ratings`` gives grades from 0 to ``grades - 1``; none if there are none.
 
-    Only ``sample`` texts (about; by a hash of the text) reach the driver, as the columns of their words.
+    About ``sample`` ratings, chosen by a hash of the id, are looked up; only the columns of the words of
+    these documents reach the driver. The chosen ratings are broadcast: 16 bytes each.
     """
-    rows = rated.select(F.col(text_column).cast("string").alias("text"), F.col(grade_column).cast("int").alias("grade")).where(f"text is not null and grade between 0 and {grades - 1}")
-    total = rows.count()
-    if not total:
-        return None
-    share = max(1, int(min(1.0, sample / total) * 1_000_000))
-    chosen = rows.where(F.pmod(F.xxhash64("text", "grade"), F.lit(1_000_000)) < share)
-    found = sorted((r.grade, bytes(r.at), bytes(r.shapes)) for r in chosen.mapInArrow(_rated, "grade int, at binary, shapes binary").collect())
+    rated = ratings.select(F.col(id_column).alias("_id"), F.col(grade_column).cast("int").alias("grade")).where(f"_id is not null and grade between 0 and {grades - 1}")
+    total = rated.count()
+    share = max(1, int(min(1.0, sample / max(total, 1)) * 1_000_000))
+    chosen = rated.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1_000_000)) < share)
+    if chosen.count() <= 4 * sample:
+        chosen = F.broadcast(chosen)
+    texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).where("text is not null").join(chosen, "_id").select("text", "grade")
+    found = sorted((r.grade, bytes(r.at), bytes(r.shapes)) for r in texts.mapInArrow(_rated, "grade int, at binary, shapes binary").collect())
     if not found:
         return None
     columns, place = np.unique(np.frombuffer(b"".join(x[1] for x in found), np.int32), return_inverse=True)
@@ -129,7 +138,7 @@ def _grade(model: Model | None, text_column: str, names: list[str], least: float
         weights = np.zeros(FEATURES + SHAPES, np.float32)
         if model:
             weights[model.at] = model.weights
-        for batch in batches:
+        for batch in _slices(batches, text_column):
             n = batch.num_rows
             values = batch.column(text_column)
             has = np.zeros(n, bool)

@@ -75,8 +75,8 @@ def op2_quality(spark, sf_dir):
     """Grades of the labels: 0 toxic, 1 of low quality, 2 neither."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
-    rated = docs.select("doc_id", "text").join(labels.select("doc_id", grade.alias("grade")), "doc_id")
-    return quality.with_quality(docs.select("doc_id", "text"), quality.fit(rated)).drop("text")
+    model = quality.fit(docs, labels.select("doc_id", grade.alias("grade")))
+    return quality.with_quality(docs.select("doc_id", "text"), model).drop("text")
 
 
 @query
