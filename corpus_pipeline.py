@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm import language, near_dedup, packing, pii, substring_dedup
@@ -11,37 +14,49 @@ from fraudlens.llm.storage import ship, written
 LEAST_SCORE = 0.3
 
 
-def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of documents, with the number of characters that the text has now."""
-    sized = docs.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in columns else docs
-    return sized.select(*columns)
+# What the stages read; other columns are carried along under names that no operator uses.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _stage(work: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that returns the columns of its documents, with ``n_chars`` of the text that is left."""
+
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        others = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        done = work(docs.withColumnsRenamed(others))
+        size = F.char_length("text").cast("bigint")
+        return done.withColumn("n_chars", size).select(*[F.col(others.get(c, c)).alias(c) for c in docs.columns])
+
+    return run
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def known_language(docs: DataFrame) -> DataFrame:
     """Documents of a known language; a missing one is filled in. The rest goes: null texts, texts
     without letters, and texts of which no language is likely."""
-    ship(spark)
     found = language.with_language(docs, language.fit(docs))
     kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred"))
 
 
-def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def distinct_documents(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id."""
-    ship(spark)
-    return near_dedup.without_near_duplicates(docs, percent=80).select(*docs.columns)
+    return near_dedup.without_near_duplicates(docs, percent=80)
 
 
-def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def distinct_passages(docs: DataFrame) -> DataFrame:
     """Documents without the passages that one with a smaller id has; texts that lose nothing stay as they are."""
-    ship(spark)
-    return _sized(substring_dedup.remove_repeats(docs), docs.columns)
+    return substring_dedup.remove_repeats(docs)
 
 
-def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def without_personal_data(docs: DataFrame) -> DataFrame:
     """Documents with the kind in place of each piece of personal data."""
-    ship(spark)
-    return _sized(pii.with_personal_data(docs, redact=True), docs.columns)
+    return pii.with_personal_data(docs, redact=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -287,7 +287,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT, fold_case: bool = True) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns."""
     _, found = _linked(docs, id_column, text_column, words, percent, fold_case)
-    others = written(found.where("node != component").select(F.col("node").alias("_node")), "others")
+    others = written(found.where("node != component").select(F.col("node").alias(id_column)), "others")
     if others.count() <= SMALL_IDS:
         others = F.broadcast(others)
-    return docs.join(others, F.col(id_column).cast("bigint") == F.col("_node"), "left_anti")
+    return docs.join(others, id_column, "left_anti").select(*docs.columns)
