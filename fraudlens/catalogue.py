@@ -214,19 +214,19 @@ def normalised_places(spark, sf_dir):
 
 @query
 def panel_counts(spark, sf_dir):
-    return monitor.counts(t.table(spark, sf_dir, "events"), "ts", "event_type", "1 hour")
+    return monitor.counts(t.table(spark, sf_dir, "events"), "ts", "event_type", "1 hour", limit=monitor.SERIES_LIMIT)
 
 
 @query
 def panel_p99(spark, sf_dir):
     events = monitor.in_values(t.table(spark, sf_dir, "events"), "event_type", None, excluded=["signup"])
-    return monitor.quantiles(events, "ts", "event_type", "value", "1 day", scale=1000)
+    return monitor.quantiles(events, "ts", "event_type", "value", "1 day", scale=1000, limit=monitor.SERIES_LIMIT)
 
 
 @query
 def panel_errors(spark, sf_dir):
     events = monitor.in_values(t.table(spark, sf_dir, "events"), "event_type", ["error", "signup"], excluded=["signup"])
-    return monitor.counts(events, "ts", "event_type", "1 hour")
+    return monitor.counts(events, "ts", "event_type", "1 hour", limit=monitor.SERIES_LIMIT)
 
 
 @query
@@ -242,7 +242,7 @@ def panel_detail(spark, sf_dir):
         F.min("ts").alias("span_start"), F.max("ts").alias("span_end")
     )
     chosen = events.agg(F.max(F.struct("value", F.col("user_id").alias("id"))).alias("top")).select("top.id").scalar()
-    rows = monitor.detail(events, spans, "user_id", "ts", "value", chosen)
+    rows = monitor.detail(events, spans, "user_id", "ts", "value", "event_id", chosen)
     tags = F.transform(monitor.json_tags("props"), lambda m: F.concat_ws("=", m["key"], m["value"]))
     return rows.select(
         "user_id", "event_id", "event_type", "ts", (F.col("value") * 0.001).alias("duration"), F.array_join(tags, ",").alias("tags")
@@ -328,6 +328,18 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.transactions_stream(stream_session(spark), sf_dir)
 
 
+def _closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of transactions, and one a day later that moves the watermark past all their windows."""
+    tx = _stream(spark, sf_dir)
+    session = tx.sparkSession
+    later = F.expr("max(timestamp) + INTERVAL 1 DAY").cast("timestamp").alias("timestamp")
+    last = t.transactions(session, sf_dir).agg(later)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in tx.schema if f.name != "timestamp"]
+    folder = shared_folder(session, "closing")
+    last.select(*empty, "timestamp").write.parquet(folder)
+    return tx.unionByName(session.readStream.schema(tx.schema).parquet(folder))
+
+
 @query
 def stream_big_amount(spark, sf_dir):
     return _run(spark, rules.big_amount(_stream(spark, sf_dir)), "big_amount")
@@ -335,17 +347,17 @@ def stream_big_amount(spark, sf_dir):
 
 @query
 def stream_velocity_alerts(spark, sf_dir):
-    return _run(spark, rules.velocity(rules.with_watermark(_stream(spark, sf_dir))), "velocity")
+    return _run(spark, rules.velocity(rules.with_watermark(_closed(spark, sf_dir))), "velocity")
 
 
 @query
 def stream_geolocation_alerts(spark, sf_dir):
-    return _run(spark, rules.geolocation(rules.with_watermark(_stream(spark, sf_dir))), "geolocation")
+    return _run(spark, rules.geolocation(rules.with_watermark(_closed(spark, sf_dir))), "geolocation")
 
 
 @query
 def stream_device_alerts(spark, sf_dir):
-    return _run(spark, rules.device_sharing(rules.with_watermark(_stream(spark, sf_dir))), "device")
+    return _run(spark, rules.device_sharing(rules.with_watermark(_closed(spark, sf_dir))), "device")
 
 
 @query
@@ -387,4 +399,4 @@ def stream_landed_transactions(spark, sf_dir):
     tx = t.transactions_stream(stream_session(spark), sf_dir).select(*s.TRANSACTION_COLUMNS)
     folder = shared_folder(spark, "landed")
     jobs.start(sinks.land(tx, f"{folder}/rows", "timestamp"), f"{folder}/checkpoint", available_now=True).awaitTermination()
-    return _wall_clock(sinks.landed(tx.sparkSession, f"{folder}/rows", "timestamp", first="2024-01-01"), "timestamp")
+    return _wall_clock(sinks.landed(tx.sparkSession, f"{folder}/rows", "timestamp"), "timestamp")

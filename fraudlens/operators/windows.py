@@ -9,6 +9,7 @@ Two forms give the same rows.
   5 or 6 times. Per chunk the panes are counters, or bits of a mask, that Spark combines before
   the shuffle: a key that holds a third of all rows still sends one row per chunk and task. The
   windows are formed from the panes after the shuffle, and only where the threshold is met.
+  Windows of more than ``MOST_PANES`` panes are summed from a row per pane instead.
 """
 
 from __future__ import annotations
@@ -18,6 +19,21 @@ from pyspark.sql import DataFrame, functions as F
 from fraudlens.functions.times import seconds
 
 
+# Counters, or bits of a mask, that a chunk holds at most.
+MOST_PANES = 63
+
+
+def _chunk_windows(panes: int, windows: int | None) -> int:
+    """Windows that a chunk begins: those asked for, as far as its panes fit; 0 if not even one does."""
+    return max(0, min(windows or 2 * panes, MOST_PANES - panes + 1))
+
+
+def _from_panes(panes: DataFrame, keys: list[str], counted: str, minimum: int, name: str, size: str, slide: str) -> DataFrame:
+    """Windows from rows per key and pane: ``_pane`` is the start of a pane."""
+    windows = hop(panes, "_pane", size, slide).groupBy(*keys, "window_start", "window_end").agg(F.expr(counted).alias(name))
+    return windows.where(F.col(name) >= minimum)
+
+
 def panes_per_window(size: str, slide: str) -> int:
     if seconds(size) % seconds(slide):
         raise ValueError(f"window size {size} is not a multiple of its slide {slide}")
@@ -78,7 +94,10 @@ def hop_count(
 ) -> DataFrame:
     """Rows per key and hopping window, where there are at least ``minimum``; ``windows`` is the length of a chunk."""
     panes = panes_per_window(size, slide)
-    windows = windows or 2 * panes
+    windows = _chunk_windows(panes, windows)
+    if not windows:
+        rows = df.groupBy(*keys, F.window(time, slide).start.alias("_pane")).agg(F.count("*").alias("_n"))
+        return _from_panes(rows, keys, "sum(_n)", max(minimum, 1), name, size, slide)
     chunked = _chunked(df, keys, time, slide, panes, windows)
     counters = chunked.groupBy(*keys, "_chunk").agg(*[
         F.expr(f"count(CASE WHEN _pane = {p} THEN 1 END) AS _p{p}") for p in range(windows + panes - 1)
@@ -92,12 +111,16 @@ def hop_distinct(
 ) -> DataFrame:
     """Exact number of distinct non-null ``value`` per key and hopping window, where at least ``minimum``."""
     panes = panes_per_window(size, slide)
-    windows = windows or 2 * panes
-    if windows + panes > 64:
-        raise ValueError("a chunk holds at most 63 panes, the bits of its mask")
+    windows = _chunk_windows(panes, windows)
     if minimum < 1:
         raise ValueError("windows without a non-null value are not formed: minimum must be at least 1")
-    chunked = _chunked(df.where(F.col(value).isNotNull()), [*keys, value], time, slide, panes, windows)
+    known = df.where(F.col(value).isNotNull())
+    if not windows:
+        rows = known.select(*keys, value, F.window(time, slide).start.alias("_pane")).distinct()
+        each = hop(rows, "_pane", size, slide).select(*keys, value, "window_start", "window_end").distinct()
+        counted = each.groupBy(*keys, "window_start", "window_end").agg(F.count("*").alias(name))
+        return counted.where(F.col(name) >= minimum)
+    chunked = _chunked(known, [*keys, value], time, slide, panes, windows)
     # One row per key, chunk and value; bit p says that the value occurs in pane p.
     masks = chunked.groupBy(*keys, "_chunk", value).agg(F.expr("bit_or(shiftleft(1L, _pane)) AS _mask"))
     window_bits = (1 << panes) - 1

@@ -47,7 +47,6 @@ DEVICE = _hop(
     "count(DISTINCT customer_id) > 3",
 )
 VELOCITY_BY_WINDOW = _hop("customer_id", 60, 10, "count(*) AS tx_count", "count(*) >= 5")
-CLOSED = "window_end <= (SELECT max(\"timestamp\") - INTERVAL 5 SECOND FROM tx)"
 
 JOIN_C = f"SELECT {T_COLUMNS}, {LABEL}, b.description FROM tx t JOIN bc b ON t.customer_id = b.customer_id"
 JOIN_D = f"SELECT {T_COLUMNS}, {LABEL}, b.description FROM tx t JOIN bd b ON t.device_id = b.device_id"
@@ -136,7 +135,6 @@ FROM ({TX_LATEST})""",
     "normalised_places": f"WITH {TX} {GEO}",
     "panel_counts": """SELECT date_trunc('hour', ts) AS "time", event_type, count(*) AS n FROM events
 GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100000""",
-    # The sketch is exact while a group has no more rows than its accuracy.
     "panel_p99": """SELECT date_trunc('day', ts) AS "time", event_type, quantile_disc(value, 0.99) / 1000 AS p99 FROM events
 WHERE event_type <> 'signup' GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100000""",
     "panel_errors": """SELECT date_trunc('hour', ts) AS "time", event_type, count(*) AS n FROM events
@@ -147,7 +145,7 @@ FROM events GROUP BY user_id ORDER BY duration DESC, user_id LIMIT 100""",
 span AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type = 'purchase' AND user_id = (SELECT user_id FROM chosen))
 SELECT user_id, event_id, event_type, ts, value * 0.001 AS duration, 'k=' || json_extract_string(props, '$.k') AS tags
 FROM events WHERE user_id = (SELECT user_id FROM chosen) AND ts >= (SELECT lo FROM span) AND ts <= (SELECT hi FROM span) AND value > 0
-ORDER BY ts DESC, value DESC LIMIT 1000""",
+ORDER BY ts DESC, value DESC, event_id DESC LIMIT 1000""",
     "panel_page": "SELECT ts, props, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000",
     "panel_distinct": "SELECT DISTINCT event_type FROM events",
     "panel_distinct_ids": "SELECT DISTINCT user_id FROM events WHERE event_type = 'error' ORDER BY user_id LIMIT 100",
@@ -157,9 +155,9 @@ GROUP BY 1, 2 ORDER BY 1, 2""",
 GROUP BY 1, 2 ORDER BY 1, 2""",
     "panel_status": "SELECT event_id, event_type, CASE WHEN event_type IN ('error') THEN 2 ELSE 0 END AS status_code FROM events",
     "panel_time_range": """SELECT make_timestamp((epoch_us(ts) // 90000000) * 90000000) AS "time", event_type, count(*) AS n FROM events
-WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100000""",
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY 1, 2""",
     "panel_date_range": """SELECT make_timestamp((epoch_us(ts) // 500000) * 500000) AS "time", event_type, count(*) AS n FROM events
-WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100000""",
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1, 2""",
     "alert_rollup": f"""WITH {TX}, {BC}, {BD}, alerts AS (
   SELECT 'big_amount' AS rule, "timestamp" AS raised FROM tx WHERE amount > 10000000
   UNION ALL SELECT 'blacklist', "timestamp" FROM ({JOIN_C} UNION ALL {JOIN_D})
@@ -168,9 +166,9 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY
   UNION ALL SELECT 'device_alerts', window_start FROM ({DEVICE}))
 SELECT rule, make_timestamp((epoch_us(raised) // 300000000) * 300000000) AS "time", count(*) AS alerts FROM alerts GROUP BY 1, 2""",
     "stream_big_amount": f"WITH {TX} SELECT {COLUMNS} FROM tx WHERE amount > 10000000",
-    "stream_velocity_alerts": f"WITH {TX} SELECT * FROM ({VELOCITY}) WHERE {CLOSED}",
-    "stream_geolocation_alerts": f"WITH {TX} SELECT * FROM ({GEO}) WHERE {CLOSED}",
-    "stream_device_alerts": f"WITH {TX} SELECT * FROM ({DEVICE}) WHERE {CLOSED}",
+    "stream_velocity_alerts": f"WITH {TX} SELECT * FROM ({VELOCITY})",
+    "stream_geolocation_alerts": f"WITH {TX} SELECT * FROM ({GEO})",
+    "stream_device_alerts": f"WITH {TX} SELECT * FROM ({DEVICE})",
     "stream_blacklist_customers": f"WITH {TX}, {BC} {JOIN_C}",
     "stream_blacklist_devices": f"WITH {TX}, {BD} {JOIN_D}",
     "stream_dictionary_distinct": f"WITH {FEED} SELECT DISTINCT customer_id, description FROM feed",

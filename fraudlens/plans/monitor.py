@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SERIES_LIMIT = 100_000
 PAGE_LIMIT = 1000
@@ -48,26 +48,43 @@ def bucket(time: str, step: str) -> Column:
     return F.window(time, step).start
 
 
-def counts(df: DataFrame, time: str, series: str, step: str, limit: int = SERIES_LIMIT) -> DataFrame:
-    """Rows per bucket and series, the earliest buckets first."""
-    return (
-        df.groupBy(bucket(time, step).alias("time"), series).agg(F.count("*").alias("n")).orderBy("time", series).limit(limit)
-    )
+def _first(df: DataFrame, order: Sequence[str], limit: int | None) -> DataFrame:
+    """The first rows by ``order`` with a limit, else all rows as they come."""
+    return df.orderBy(*order).limit(limit) if limit else df
+
+
+def counts(df: DataFrame, time: str, series: str, step: str, limit: int | None = None) -> DataFrame:
+    """Rows per bucket and series; with a limit the earliest buckets."""
+    counted = df.groupBy(bucket(time, step).alias("time"), series).agg(F.count("*").alias("n"))
+    return _first(counted, ["time", series], limit)
 
 
 def quantiles(
     df: DataFrame, time: str, series: str, measure: str, step: str, q: float = 0.99, scale: float = 1.0, name: str = "p99",
-    accuracy: int = 10_000, limit: int = SERIES_LIMIT,
+    accuracy: int = 10_000, limit: int | None = None,
 ) -> DataFrame:
-    """A quantile of the measure per bucket and series: a value of the group whose rank is off by at
-    most 1/accuracy of its rows, so it is exact for groups of up to ``accuracy`` rows.
+    """The exact quantile of the measure per bucket and series: the least value that a share ``q`` of
+    the group's rows do not exceed. Groups without a value give NULL.
 
-    Sketches of a bounded size are combined before the shuffle; no group is collected.
+    A sketch per group, combined before the shuffle, gives two values between which the quantile
+    lies. Rows are then counted per group and value between them, and all others as below or above,
+    so that only about ``10 / accuracy`` of a group's rows meet in one task, however large it is.
     """
-    value = F.percentile_approx(measure, q, accuracy)
-    return (
-        df.groupBy(bucket(time, step).alias("time"), series).agg((value / scale).alias(name)).orderBy("time", series).limit(limit)
-    )
+    timed = df.select(bucket(time, step).alias("time"), F.col(series), F.col(measure).alias("_value"))
+    margin = 4 / accuracy
+    ends = F.percentile_approx("_value", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy)
+    around = timed.groupBy("time", F.col(series).alias("_series")).agg(ends.alias("_ends")).withColumnRenamed("time", "_time")
+    same = F.col("time").eqNullSafe(F.col("_time")) & F.col(series).eqNullSafe(F.col("_series"))
+    value, low, high = F.col("_value"), F.col("_ends")[0], F.col("_ends")[1]
+    place = F.when(value < low, -1).when(value > high, 1).otherwise(0)
+    placed = timed.join(around, same).withColumn("_place", place).withColumn("_value", F.when(F.col("_place") == 0, value))
+    counted = placed.groupBy("time", series, "_place", "_value").agg(F.count(F.when(value.isNotNull() | (F.col("_place") != 0), 1)).alias("_n"))
+    group = Window.partitionBy("time", series)
+    running = F.sum("_n").over(group.orderBy("_place", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_running", running).withColumn("_rank", F.ceil(F.lit(q) * F.sum("_n").over(group)))
+    reached = F.when((F.col("_running") >= F.greatest("_rank", F.lit(1))) & (F.col("_place") == 0), value)
+    found = ranked.groupBy("time", series).agg((F.min(reached) / scale).alias(name))
+    return _first(found, ["time", series], limit)
 
 
 def averages(df: DataFrame, time: str, group: str, measure: str, step: str | None = None, as_text: bool = False) -> DataFrame:
@@ -102,9 +119,10 @@ def json_tags(column: str) -> Column:
 
 
 def detail(
-    df: DataFrame, spans: DataFrame, ident: str, time: str, measure: str, chosen: Column, limit: int = PAGE_LIMIT
+    df: DataFrame, spans: DataFrame, ident: str, time: str, measure: str, tie: str, chosen: Column, limit: int = PAGE_LIMIT
 ) -> DataFrame:
-    """Rows of one id within its span: ``spans`` holds ``span_start`` and ``span_end`` per id.
+    """Rows of one id within its span, the latest first; ``tie`` is a column that tells all rows apart.
+    ``spans`` holds ``span_start`` and ``span_end`` per id.
 
     Both limits are scalar subqueries, whose results Spark hands to the scan as plain values.
     """
@@ -112,7 +130,7 @@ def detail(
     start, end = own.select(F.min("span_start")).scalar(), own.select(F.max("span_end")).scalar()
     return (
         df.where((F.col(ident) == chosen) & (F.col(time) >= start) & (F.col(time) <= end) & (F.col(measure) > 0))
-        .orderBy(F.desc(time), F.desc(measure))
+        .orderBy(F.desc(time), F.desc(measure), F.desc(tie))
         .limit(limit)
     )
 

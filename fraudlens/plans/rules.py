@@ -1,7 +1,7 @@
 """The detection rules, each a function from transactions to flagged rows.
 
-They do no input or output and take batch tables and streams alike; a stream must carry a
-watermark on its time column for the windowed rules.
+They take batch tables and streams alike; a stream must carry a watermark on its time column for
+the windowed rules. The blacklist rules measure a batch dictionary by a small job while the plan is made.
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ def _distinct(tx: DataFrame, key: str, value: str, size: str, slide: str, name:
 
 
 def geolocation(
-    tx: DataFrame, minimum: int = s.GEO_MIN_LOCATIONS, message: str = s.GEO_MESSAGE, strategy: str = "set"
+    tx: DataFrame, minimum: int = s.GEO_MIN_LOCATIONS, message: str = s.GEO_MESSAGE, strategy: str = "two_stage"
 ) -> DataFrame:
     """Customers seen in several places within five minutes."""
     counted = _distinct(tx, "customer_id", "location", s.GEO_SIZE, s.GEO_SLIDE, "distinct_locations", minimum, strategy)

@@ -6,7 +6,9 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -18,41 +20,62 @@ from fraudlens.plans import rules
 from fraudlens.session import create_session, require_utc, stream_session
 from fraudlens.sources import messages as m
 from fraudlens.streaming import sinks
+from fraudlens.streaming.upsert import UpsertLog
 
 Read = Callable[[str], DataFrame]
 
 
+@dataclass(frozen=True)
+class Options:
+    """``delay``: how far behind the latest event time a row may come; ``strategy``: of distinct counts
+    (none: that of the rule); ``salts``: parts that a key of a two-stream join is spread over."""
+
+    delay: str = s.WATERMARK_DELAY
+    strategy: str | None = None
+    salts: int | None = None
+
+    def timed(self, tx: DataFrame, time: str = "timestamp") -> DataFrame:
+        return rules.with_watermark(tx, time, self.delay)
+
+    @property
+    def distinct(self) -> dict[str, str]:
+        return {"strategy": self.strategy} if self.strategy else {}
+
+
+Rule = Callable[[Read, Options], DataFrame]
+
+
 def _transactions(read: Read) -> DataFrame:
     return m.decoded(read("transactions"), "transactions")
 
 
-def _velocity_by_window(read: Read) -> DataFrame:
+def _velocity_by_window(read: Read, options: Options) -> DataFrame:
     tx = decode_lenient(read("transactions"), s.TRANSACTIONS_TEXT_TIME)
     timed = with_event_time(tx, "timestamp", "event_time", s.TIME_PATTERN_SECONDS)
-    return rules.velocity_by_window(rules.with_watermark(timed, "event_time"))
+    return rules.velocity_by_window(options.timed(timed, "event_time"))
 
 
-def _landed(relation: str) -> tuple[str, str | None, Callable[[Read], DataFrame]]:
+def _landed(relation: str) -> tuple[str, str | None, Rule]:
     time = "window_start" if "window_start" in m.SCHEMAS[relation].fieldNames() else "timestamp"
-    return relation, time, lambda read: m.decoded(read(relation), relation)
+    return relation, time, lambda read, _: m.decoded(read(relation), relation)
 
 
 # Relation written, its event time for landing, and the rule over the message streams.
-JOBS: dict[str, tuple[str, str | None, Callable[[Read], DataFrame]]] = {
-    "big_amount": ("big_amount", "timestamp", lambda r: rules.big_amount(_transactions(r))),
-    "blacklist_customers": ("blacklist", "timestamp", lambda r: rules.blacklisted_customers(
-        _transactions(r), m.decoded(r("blacklist_customers"), "blacklist_customers"))),
-    "blacklist_devices": ("blacklist", "timestamp", lambda r: rules.blacklisted_devices(
-        _transactions(r), m.decoded(r("blacklist_devices"), "blacklist_devices"))),
-    "velocity_alerts": ("velocity_alerts", "window_start", lambda r: rules.velocity(rules.with_watermark(_transactions(r)))),
-    "geolocation_alerts": ("geolocation_alerts", "window_start", lambda r: rules.geolocation(rules.with_watermark(_transactions(r)))),
-    "device_alerts": ("device_alerts", "window_start", lambda r: rules.device_sharing(rules.with_watermark(_transactions(r)))),
+JOBS: dict[str, tuple[str, str | None, Rule]] = {
+    "big_amount": ("big_amount", "timestamp", lambda r, o: rules.big_amount(_transactions(r))),
+    "blacklist_customers": ("blacklist", "timestamp", lambda r, o: rules.blacklisted_customers(
+        _transactions(r), m.decoded(r("blacklist_customers"), "blacklist_customers"), salts=o.salts)),
+    "blacklist_devices": ("blacklist", "timestamp", lambda r, o: rules.blacklisted_devices(
+        _transactions(r), m.decoded(r("blacklist_devices"), "blacklist_devices"), salts=o.salts)),
+    "velocity_alerts": ("velocity_alerts", "window_start", lambda r, o: rules.velocity(o.timed(_transactions(r)))),
+    "geolocation_alerts": ("geolocation_alerts", "window_start", lambda r, o: rules.geolocation(o.timed(_transactions(r)), **o.distinct)),
+    "device_alerts": ("device_alerts", "window_start", lambda r, o: rules.device_sharing(o.timed(_transactions(r)), **o.distinct)),
     "velocity_fraud": ("velocity_fraud", "window_start", _velocity_by_window),
-    "relational_transactions": ("transactions", "timestamp", lambda r: rules.copy(
+    "relational_transactions": ("transactions", "timestamp", lambda r, _: rules.copy(
         decode_strict(r("transactions"), s.TRANSACTIONS_RELATIONAL), s.TRANSACTIONS_RELATIONAL.fieldNames())),
-    "customer_entries": ("blacklist_customers", None, lambda r: rules.distinct_entries(
+    "customer_entries": ("blacklist_customers", None, lambda r, _: rules.distinct_entries(
         m.decoded(r("blacklist_customers"), "blacklist_customers", strict=True))),
-    "device_entries": ("blacklist_devices", None, lambda r: rules.distinct_entries(
+    "device_entries": ("blacklist_devices", None, lambda r, _: rules.distinct_entries(
         m.decoded(r("blacklist_devices"), "blacklist_devices", strict=True))),
     # The topics of transactions and alerts as they are, for the analytical store.
     **{f"land_{relation}": _landed(relation) for relation in (
@@ -73,9 +96,23 @@ def strict_lateness(spark: SparkSession) -> None:
     spark.conf.set(ALLOW_MULTIPLE, "false")
 
 
-def rule_stream(spark: SparkSession, job: str, read: Read) -> DataFrame:
+def rule_stream(spark: SparkSession, job: str, read: Read, options: Options = Options()) -> DataFrame:
     require_utc(spark)
-    return JOBS[job][2](read)
+    return JOBS[job][2](read, options)
+
+
+# Jobs whose relation is a table by key; of two writers of one table, the later wins a tie.
+KEYED = {"big_amount": 0, "blacklist_customers": 0, "blacklist_devices": 1, "velocity_fraud": 0, "relational_transactions": 0}
+
+
+def upsert_log(job: str, path: str) -> UpsertLog:
+    relation, time, _ = JOBS[job]
+    return UpsertLog(path, s.OUTPUT_KEYS[relation], [time], KEYED[job])
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were left out, over the progress that Spark still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False, interval: str = "10 seconds") -> StreamingQuery:
@@ -111,6 +148,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--group", help="Kafka consumer group")
     parser.add_argument("--source-topic", action="append", default=[], metavar="INPUT=TOPIC", help="read an input from another topic")
     sink = parser.add_mutually_exclusive_group()
+    sink.add_argument("--upsert", help="folder of a log of the last row per key; both blacklist jobs can write one")
     sink.add_argument("--land", help="folder of the Parquet table to append to")
     sink.add_argument("--topic", help="Kafka topic to write; default: the relation's name")
     sink.add_argument("--console", action="store_true")
@@ -120,12 +158,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--interval", default="10 seconds", help="time between micro-batches; longer ones land fewer, larger files")
     parser.add_argument("--partitions", type=int, help="state partitions, fixed by the first run; default: one per core")
     parser.add_argument("--available-now", action="store_true", help="process what is there and stop")
+    parser.add_argument("--watermark-delay", default=s.WATERMARK_DELAY, help="how late rows may come; as long as a micro-batch spans, or more")
+    parser.add_argument("--strategy", choices=["set", "two_stage"], help="of distinct counts; set: for few values per key")
+    parser.add_argument("--salts", type=int, help="parts that a key is spread over in a join of two streams; fixed by the first run")
     parser.add_argument("--strict-lateness", action="store_true")
     a = parser.parse_args(arguments)
-    if a.files and not (a.land or a.console):
-        parser.error("reading files needs --land or --console")
+    if a.files and not (a.land or a.upsert or a.console):
+        parser.error("reading files needs --land, --upsert or --console")
+    if a.job.startswith("land_") and not (a.land or a.console):
+        parser.error("landing a topic needs --land")
+    if a.upsert and a.job not in KEYED:
+        parser.error(f"--upsert is for {', '.join(sorted(KEYED))}")
 
     topics = {**m.TOPICS, **dict(pair.split("=", 1) for pair in a.source_topic)}
+    written = None if a.files or a.land or a.upsert or a.console else a.topic or JOBS[a.job][0]
     spark = stream_session(create_session(a.job), a.partitions)
     if a.strict_lateness:
         strict_lateness(spark)
@@ -133,17 +179,24 @@ def main(arguments: list[str] | None = None) -> None:
     def read(relation: str) -> DataFrame:
         if a.files:
             return m.from_files(spark, f"{a.files}/{relation}", max_files=a.max_files)
+        if topics[relation] == written:
+            parser.error(f"{a.job} would read the topic {written} that it writes")
         return m.from_kafka(spark, m.kafka_read_options(a.servers, topics[relation], a.group, max_offsets=a.max_offsets))
 
     relation, time, _ = JOBS[a.job]
-    df = rule_stream(spark, a.job, read)
-    if a.land:
+    df = rule_stream(spark, a.job, read, Options(a.watermark_delay, a.strategy, a.salts))
+    if a.upsert:
+        writer = for_each_batch(df, upsert_log(a.job, a.upsert).write)
+    elif a.land:
         writer = sinks.land(df, a.land, time) if time else df.writeStream.format("parquet").option("path", a.land)
     elif a.console:
         writer = sinks.to_console(df)
     else:
         writer = sinks.to_kafka(df, relation, a.servers, a.topic)
-    start(writer, a.checkpoint or checkpoint_folder(spark, a.job), a.available_now, a.interval).awaitTermination()
+    query = start(writer, a.checkpoint or checkpoint_folder(spark, a.job), a.available_now, a.interval)
+    query.awaitTermination()
+    if dropped := dropped_rows(query):
+        print(f"{dropped} rows came behind the watermark and were left out; see --watermark-delay", file=sys.stderr)
 
 
 if __name__ == "__main__":

@@ -17,27 +17,34 @@ from fraudlens.operators.latest import latest_by_key
 
 @dataclass(frozen=True)
 class UpsertLog:
-    """``order`` names the columns that say which row of a key was written last."""
+    """``order`` names the columns that say which row of a key was written last. Where they tie, the
+    greater ``writer``, then the later micro-batch, then a hash of the row decides, so that the last row is defined.
+
+    Several streams can write one log: each with a ``writer`` number and a checkpoint of its own.
+    """
 
     path: str
     keys: Sequence[str]
     order: Sequence[str]
+    writer: int = 0
 
-    def _latest(self, df: DataFrame) -> DataFrame:
-        return latest_by_key(df, list(self.keys), [F.col(c) for c in self.order])
+    def _latest(self, df: DataFrame, *ties: str) -> DataFrame:
+        rest = [f.name for f in df.schema if f.name not in ties]
+        return latest_by_key(df, list(self.keys), [*[F.col(c) for c in (*self.order, *ties)], F.xxhash64(*rest)])
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """For ``foreachBatch``. The log goes with the checkpoint of the stream: begin both anew together."""
-        latest = self._latest(batch).withColumn("batch", F.lit(batch_id).cast("long"))
-        latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.path)
+        """For ``foreachBatch``. A batch that is run again replaces its own part, also by no rows. The
+        log goes with the checkpoint of the stream: begin both anew together."""
+        self._latest(batch).write.mode("overwrite").parquet(f"{self.path}/writer={self.writer}/batch={batch_id}")
 
     def view(self, spark: SparkSession) -> DataFrame:
-        return self._latest(spark.read.parquet(self.path).drop("batch"))
+        return self._latest(spark.read.parquet(self.path), "writer", "batch").drop("batch", "writer")
 
     def compact(self, spark: SparkSession, target: str) -> UpsertLog:
-        """The log reduced to the last row per key, in a new folder."""
-        self.view(spark).withColumn("batch", F.lit(-1).cast("long")).write.mode("error").partitionBy("batch").parquet(target)
-        return UpsertLog(target, self.keys, self.order)
+        """The log reduced to the last row per key, in a new folder, as a batch before all others."""
+        last = self._latest(spark.read.parquet(self.path), "writer", "batch").drop("batch", "writer")
+        last.write.mode("error").parquet(f"{target}/writer={self.writer}/batch=-1")
+        return UpsertLog(target, self.keys, self.order, self.writer)
 
 
 def merge_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:

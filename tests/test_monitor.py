@@ -2,7 +2,10 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from conftest import at, plan, rows
+from pyspark.sql import functions as F
+
 from fraudlens.plans import monitor
 
 SCHEMA = "ts timestamp_ntz, series string, value double, id long"
@@ -43,13 +46,21 @@ def test_buckets_and_limits(spark):
     assert monitor.averages(sample(spark), "ts", "series", "value", "1 minute").first()["avg_value"] == 2.0
 
 
-def test_quantile_of_a_large_group_is_within_its_rank_error(spark):
-    n = 200_000
-    df = spark.range(n, numPartitions=7).selectExpr(
-        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "'a' AS series", f"cast((id * 7919) % {n} as double) AS value"
+@pytest.mark.parametrize("n", [1, 7, 100, 9_000, 1_000_000])
+@pytest.mark.parametrize("partitions", [1, 64])
+def test_quantiles_are_exact(spark, n, partitions):
+    df = spark.range(n, numPartitions=partitions).selectExpr(
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "if(id % 3 = 0, 'a', 'b') AS series", f"cast(pmod(hash(id), 100 * {n}) AS double) AS value"
     )
-    found = monitor.quantiles(df, "ts", "series", "value", "1 hour").first()["p99"]
-    assert abs(found - 0.99 * n) <= n / 10_000 + 1
+    none = df.selectExpr("ts", "CAST(NULL AS STRING) AS series", "CAST(NULL AS DOUBLE) AS value").limit(2)
+    found = monitor.quantiles(df.union(none), "ts", "series", "value", "1 hour")
+    exact = df.groupBy("series").agg(F.expr("percentile_disc(0.99) WITHIN GROUP (ORDER BY value)"))
+    assert rows(found, "series", "p99") == [(None, None), *rows(exact)]
+
+
+def test_series_are_not_cut(spark):
+    df = spark.range(120_000).selectExpr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + id * INTERVAL 1 SECOND AS ts", "'a' AS series")
+    assert monitor.counts(df, "ts", "series", "1 second").count() == 120_000
 
 
 def test_summaries_take_the_label_of_the_first_row(spark):

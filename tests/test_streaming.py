@@ -76,7 +76,7 @@ def test_rows_one_batch_behind_the_watermark_count_by_default(session, feed, tmp
 def test_strict_lateness_drops_them(session, feed, tmp_path):
     late_case(feed)
     jobs.strict_lateness(session)
-    alerts = drain(session, rules.geolocation(rules.with_watermark(transactions(session, feed))), tmp_path)
+    alerts = drain(session, rules.geolocation(rules.with_watermark(transactions(session, feed)), strategy="set"), tmp_path)
     found = rows(alerts.where("customer_id = 'a' AND window_end BETWEEN '2024-01-01 00:02:00' AND '2024-01-01 00:05:00'"), "distinct_locations")
     assert found == [(2,)] * 4
 
@@ -266,3 +266,67 @@ def test_checkpoints_of_jobs_are_below_the_shared_folder(spark):
 def test_a_streamed_table_holds_the_rows_of_the_batch_one(spark, session):
     assert driver_tables.transactions_stream(session, DATA).isStreaming
     assert not any(f.dataType.simpleString() == "timestamp_ntz" for f in driver_tables.transactions_stream(session, DATA).schema)
+
+
+def upserted(spark, tmp_path, job, *more):
+    jobs.main([job, "--files", str(tmp_path / "in"), "--upsert", str(tmp_path / "log"), "--checkpoint", str(tmp_path / job), "--available-now", *more])
+    return jobs.upsert_log(job, str(tmp_path / "log")).view(spark)
+
+
+def test_two_jobs_write_one_keyed_blacklist(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    Feed(tmp_path / "in" / "transactions").add(record(1, "00:00:01"), record(2, "00:00:02", device="other"))
+    Feed(tmp_path / "in" / "blacklist_customers").add({"customer_id": "a", "description": "customer"})
+    Feed(tmp_path / "in" / "blacklist_devices").add({"device_id": "d", "description": "device"})
+    upserted(spark, tmp_path, "blacklist_devices")
+    found = upserted(spark, tmp_path, "blacklist_customers", "--salts", "3")
+    assert rows(found, "transaction_id", "description") == [("TX1", "device"), ("TX2", "customer")]
+
+
+def test_a_keyed_table_from_a_job(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    big = {"amount": 20_000_000}
+    Feed(tmp_path / "in" / "transactions").add(record(1, "00:00:03", location="last", **big), record(1, "00:00:01", location="first", **big))
+    assert rows(upserted(spark, tmp_path, "big_amount"), "transaction_id", "location") == [("TX1", "last")]
+
+
+def test_a_batch_without_rows_replaces_its_part(session, tmp_path):
+    log = UpsertLog(str(tmp_path / "log"), ["k"], ["o"])
+    df = session.createDataFrame([("a", 1, "x"), ("a", 1, "y")], "k string, o int, v string")
+    log.write(df, 6)
+    log.write(df.selectExpr("'b' AS k", "o", "v"), 7)
+    first = rows(log.view(session))
+    assert [r[0] for r in first] == ["a", "b"]
+    log.write(df.where("false"), 7)
+    assert rows(log.view(session)) == first[:1]
+    small = log.compact(session, str(tmp_path / "small"))
+    assert rows(small.view(session)) == first[:1]
+    small.write(df.selectExpr("k", "o", "'later' AS v"), 8)
+    assert rows(small.view(session), "v") == [("later",)]
+
+
+@pytest.mark.parametrize("arguments", [
+    ["land_big_amount", "--servers", "x"], ["velocity_alerts", "--servers", "x", "--upsert", "y"], ["velocity_alerts", "--files", "x"],
+    ["big_amount", "--servers", "x", "--topic", "transactions-stream"],
+])
+def test_jobs_that_would_feed_themselves_are_refused(spark, arguments, capsys):
+    with pytest.raises(SystemExit):
+        jobs.main([*arguments, "--checkpoint", "y"])
+    assert "error" in capsys.readouterr().err
+
+
+@pytest.mark.parametrize(("delay", "complete"), [("1 hour", True), ("5 seconds", False)])
+def test_results_do_not_depend_on_the_micro_batch_if_the_delay_suffices(spark, tmp_path, capsys, delay, complete):
+    (tmp_path / "in").mkdir()
+    feed = Feed(tmp_path / "in" / "transactions")
+    for n, minute in enumerate((1, 20, 2, 21, 3, 22, 40)):
+        feed.add(*[record(10 * n + i, f"00:{minute:02}:0{i}") for i in range(6)])
+    feed.add(record(100, "05:00:00", customer="z"))
+    feed.add(record(101, "09:00:00", customer="z"))
+    counts = []
+    for files in ("1", "1000"):
+        jobs.main(["velocity_alerts", "--files", str(tmp_path / "in"), "--land", str(tmp_path / f"out{files}"), "--checkpoint", str(tmp_path / f"c{files}"),
+                   "--available-now", "--max-files", files, "--watermark-delay", delay])
+        counts.append(spark.read.parquet(str(tmp_path / f"out{files}")).count())
+    reported = "behind the watermark" in capsys.readouterr().err
+    assert (counts == [42, 42] and not reported) if complete else (counts[0] < 42 and reported)

@@ -140,3 +140,13 @@ def test_device_threshold(spark):
     three = [(c, "x", "d", "00:00:01") for c in "aab"] + [("c", "x", "d", "00:00:02"), (None, "x", "d", "00:00:03")]
     assert rules.device_sharing(tx(spark, three)).count() == 0
     assert rows(rules.device_sharing(tx(spark, three + [("e", "x", "d", "00:00:04")])), "distinct_customers") == [(4,)] * 5
+
+
+@pytest.mark.parametrize(("size", "slide"), [("1 hour", "1 minute"), ("1 day", "1 minute"), ("64 seconds", "1 second"), ("63 seconds", "1 second")])
+def test_windows_of_many_panes_equal_plain_windows(spark, size, slide):
+    df = spark.range(40).selectExpr("concat('k', id % 3) AS key", "concat('v', id % 7) AS value", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + (id * id * 40) * INTERVAL 1 SECOND AS ts")
+    plain = hop(df, "ts", size, slide).groupBy("key", "window_start", "window_end")
+    counted = plain.agg(F.count("*").alias("n")).where("n >= 2")
+    assert rows(hop_count(df, ["key"], "ts", size, slide, "n", 2).select(counted.columns)) == rows(counted)
+    distinct = plain.agg(F.count_distinct("value").alias("n")).where("n >= 2")
+    assert rows(hop_distinct(df, ["key"], "value", "ts", size, slide, "n", 2).select(distinct.columns)) == rows(distinct)
