@@ -28,10 +28,13 @@ def _chunk_windows(panes: int, windows: int | None) -> int:
     return max(0, min(windows or 2 * panes, MOST_PANES - panes + 1))
 
 
-def _from_panes(panes: DataFrame, keys: list[str], counted: str, minimum: int, name: str, size: str, slide: str) -> DataFrame:
-    """Windows from rows per key and pane: ``_pane`` is the start of a pane."""
-    windows = hop(panes, "_pane", size, slide).groupBy(*keys, "window_start", "window_end").agg(F.expr(counted).alias(name))
-    return windows.where(F.col(name) >= minimum)
+def _windows_of(panes: DataFrame, columns: list[str], size: str, slide: str) -> DataFrame:
+    """Rows of panes, which start at ``_pane``, once for each window around them. A sequence, since the
+    plan of ``hop`` grows with the number of windows."""
+    first = f"_pane - INTERVAL '{seconds(size) - seconds(slide)}' SECOND"
+    starts = F.explode(F.expr(f"sequence({first}, _pane, INTERVAL '{seconds(slide)}' SECOND)"))
+    end = F.expr(f"window_start + INTERVAL '{seconds(size)}' SECOND")
+    return panes.select(*columns, starts.alias("window_start")).withColumn("window_end", end)
 
 
 def panes_per_window(size: str, slide: str) -> int:
@@ -97,7 +100,8 @@ def hop_count(
     windows = _chunk_windows(panes, windows)
     if not windows:
         rows = df.groupBy(*keys, F.window(time, slide).start.alias("_pane")).agg(F.count("*").alias("_n"))
-        return _from_panes(rows, keys, "sum(_n)", max(minimum, 1), name, size, slide)
+        summed = _windows_of(rows, [*keys, "_n"], size, slide).groupBy(*keys, "window_start", "window_end").agg(F.sum("_n").alias(name))
+        return summed.where(F.col(name) >= max(minimum, 1))
     chunked = _chunked(df, keys, time, slide, panes, windows)
     counters = chunked.groupBy(*keys, "_chunk").agg(*[
         F.expr(f"count(CASE WHEN _pane = {p} THEN 1 END) AS _p{p}") for p in range(windows + panes - 1)
@@ -117,7 +121,7 @@ def hop_distinct(
     known = df.where(F.col(value).isNotNull())
     if not windows:
         rows = known.select(*keys, value, F.window(time, slide).start.alias("_pane")).distinct()
-        each = hop(rows, "_pane", size, slide).select(*keys, value, "window_start", "window_end").distinct()
+        each = _windows_of(rows, [*keys, value], size, slide).distinct()
         counted = each.groupBy(*keys, "window_start", "window_end").agg(F.count("*").alias(name))
         return counted.where(F.col(name) >= minimum)
     chunked = _chunked(known, [*keys, value], time, slide, panes, windows)
