@@ -8,11 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm import embedding_dedup, html, language, near_dedup, packing, pieces, pii, quality, substring_dedup, topk
+from fraudlens.llm.oracles import ORACLES  # noqa: F401
 from fraudlens.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -34,7 +34,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.remove_repeats(docs, keep_text=False)
+    return substring_dedup.remove_repeats(docs, keep_text=False).drop("spans")
 
 
 @query
