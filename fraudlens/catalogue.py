@@ -185,6 +185,11 @@ def encode_alerts(spark, sf_dir):
     return sinks.messages(rules.velocity(t.transactions(spark, sf_dir)), "velocity_alerts")
 
 
+@query
+def encode_geolocation(spark, sf_dir):
+    return sinks.messages(rules.geolocation(t.transactions(spark, sf_dir)), "geolocation_alerts")
+
+
 @query
 def encode_window_keys(spark, sf_dir):
     tx = t.transactions(spark, sf_dir)

@@ -127,6 +127,8 @@ FROM ({TX_LATEST})""",
   location, payment_method, device_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp" FROM tx""",
     "encode_alerts": f"""WITH {TX} SELECT {_json(['customer_id'])} AS "key",
   {_json(['customer_id', 'window_start', 'window_end', 'txn_count', 'alert_message'])} AS "value" FROM ({VELOCITY})""",
+    "encode_geolocation": f"""WITH {TX} SELECT {_json(['customer_id'])} AS "key",
+  {_json(['customer_id', 'window_start', 'window_end', 'distinct_locations', 'alert_message'])} AS "value" FROM ({GEO})""",
     "encode_window_keys": f"""WITH {TX} SELECT {_json(['customer_id', 'window_start'])} AS "key",
   {_json(['customer_id', 'tx_count', 'window_start', 'window_end'])} AS "value" FROM ({VELOCITY_BY_WINDOW})""",
     "encode_unkeyed": f"""WITH {TX} SELECT
