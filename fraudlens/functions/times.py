@@ -1,4 +1,4 @@
-"""Event-time arithmetic that does not depend on the session time zone."""
+"""Event times as text, ids and durations. The text of an instant is that of the session zone; jobs require UTC."""
 
 from __future__ import annotations
 

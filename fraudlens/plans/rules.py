@@ -24,8 +24,8 @@ def normalise_places(tx: DataFrame, *columns: str) -> DataFrame:
     return tx.withColumns({c: F.lower(F.trim(c)) for c in columns or ("location", "merchant")})
 
 
-def big_amount(tx: DataFrame, above: int = s.BIG_AMOUNT) -> DataFrame:
-    return tx.where(F.col("amount") > above).select(*s.TRANSACTION_COLUMNS)
+def big_amount(tx: DataFrame, above: int = s.BIG_AMOUNT, carry: tuple[str, ...] = ()) -> DataFrame:
+    return tx.where(F.col("amount") > above).select(*carry, *s.TRANSACTION_COLUMNS)
 
 
 def blacklisted(
@@ -46,7 +46,7 @@ def blacklisted_devices(tx: DataFrame, devices: DataFrame, **options) -> DataFra
 
 def blacklist_hits(
     tx: DataFrame, customers: DataFrame, devices: DataFrame, label: str = s.BLACKLIST_LABEL, carry: tuple[str, ...] = (),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES, salts: int | None = None,
 ) -> DataFrame:
     """Both blacklist rules; ``_writer`` is 0 for hits by customer, 1 for hits by device.
 
@@ -57,7 +57,7 @@ def blacklist_hits(
     listed = {key: d.select(key, "description").dropna(subset=[key]) for key, d in dictionaries.items()}
     if any(d.isStreaming for d in listed.values()) or measured_bytes(listed["customer_id"].union(listed["device_id"])) > broadcast_bytes:
         parts = [
-            blacklisted(tx, d, key, label=label, carry=carry, broadcast_bytes=broadcast_bytes).withColumn("_writer", F.lit(writer))
+            blacklisted(tx, d, key, label=label, carry=carry, broadcast_bytes=broadcast_bytes, salts=salts).withColumn("_writer", F.lit(writer))
             for writer, (key, d) in enumerate(listed.items())
         ]
         return parts[0].unionByName(parts[1]).select(*carry, "_writer", *s.BLACKLIST_COLUMNS)

@@ -81,5 +81,6 @@ OUTPUT_KEYS = {
     "blacklist_customers": ["customer_id"],
     "blacklist_devices": ["device_id"],
     "blacklist_append": [],
+    "blacklist_customers_append": [],
     "device_alerts_append": [],
 }

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,19 +20,23 @@ from fraudlens.plans import rules
 from fraudlens.session import create_session, require_utc, stream_session
 from fraudlens.sources import messages as m
 from fraudlens.streaming import sinks
-from fraudlens.streaming.upsert import UpsertLog
+from fraudlens.streaming.upsert import Database, RelationalTable, UpsertLog
 
 Read = Callable[[str], DataFrame]
+# The place of a message in its topic, which tells the write order of a key.
+PLACE = ("partition", "offset")
 
 
 @dataclass(frozen=True)
 class Options:
     """``delay``: how far behind the latest event time a row may come; ``strategy``: of distinct counts
-    (none: that of the rule); ``salts``: parts that a key of a two-stream join is spread over."""
+    (none: that of the rule); ``salts``: parts that a key of a two-stream join is spread over;
+    ``place``: rows carry the place of their message, where the source has one."""
 
     delay: str = s.WATERMARK_DELAY
     strategy: str | None = None
     salts: int | None = None
+    place: bool = False
 
     def timed(self, tx: DataFrame, time: str = "timestamp") -> DataFrame:
         return rules.with_watermark(tx, time, self.delay)
@@ -41,12 +45,42 @@ class Options:
     def distinct(self) -> dict[str, str]:
         return {"strategy": self.strategy} if self.strategy else {}
 
+    def carried(self, messages: DataFrame) -> tuple[str, ...]:
+        return PLACE if self.place and set(PLACE) <= set(messages.columns) else ()
+
 
 Rule = Callable[[Read, Options], DataFrame]
 
 
-def _transactions(read: Read) -> DataFrame:
-    return m.decoded(read("transactions"), "transactions")
+def _rows(read: Read, relation: str, options: Options) -> DataFrame:
+    messages = read(relation)
+    return m.decoded(messages, relation, carry=options.carried(messages))
+
+
+def _big_amount(read: Read, options: Options) -> DataFrame:
+    tx = _rows(read, "transactions", options)
+    return rules.big_amount(tx, carry=options.carried(tx))
+
+
+def _blacklisted(key: str, dictionary: str) -> Rule:
+    def rule(read: Read, options: Options) -> DataFrame:
+        tx, entries = _rows(read, "transactions", options), m.decoded(read(dictionary), dictionary)
+        return rules.blacklisted(tx, entries, key, carry=options.carried(tx), salts=options.salts)
+
+    return rule
+
+
+def _both_blacklists(read: Read, options: Options) -> DataFrame:
+    tx = _rows(read, "transactions", options)
+    entries = [m.decoded(read(d), d) for d in ("blacklist_customers", "blacklist_devices")]
+    return rules.blacklist_hits(tx, *entries, carry=options.carried(tx), salts=options.salts).drop("_writer")
+
+
+def _relational_transactions(read: Read, options: Options) -> DataFrame:
+    messages = read("transactions")
+    carry = options.carried(messages)
+    rows = decode_strict(messages, s.TRANSACTIONS_RELATIONAL, carry=carry)
+    return rules.copy(rows, [*carry, *s.TRANSACTIONS_RELATIONAL.fieldNames()])
 
 
 def _velocity_by_window(read: Read, options: Options) -> DataFrame:
@@ -57,22 +91,22 @@ def _velocity_by_window(read: Read, options: Options) -> DataFrame:
 
 def _landed(relation: str) -> tuple[str, str | None, Rule]:
     time = "window_start" if "window_start" in m.SCHEMAS[relation].fieldNames() else "timestamp"
-    return relation, time, lambda read, _: m.decoded(read(relation), relation)
+    return relation, time, lambda read, options: _rows(read, relation, options)
 
 
 # Relation written, its event time for landing, and the rule over the message streams.
 JOBS: dict[str, tuple[str, str | None, Rule]] = {
-    "big_amount": ("big_amount", "timestamp", lambda r, o: rules.big_amount(_transactions(r))),
-    "blacklist_customers": ("blacklist", "timestamp", lambda r, o: rules.blacklisted_customers(
-        _transactions(r), m.decoded(r("blacklist_customers"), "blacklist_customers"), salts=o.salts)),
-    "blacklist_devices": ("blacklist", "timestamp", lambda r, o: rules.blacklisted_devices(
-        _transactions(r), m.decoded(r("blacklist_devices"), "blacklist_devices"), salts=o.salts)),
-    "velocity_alerts": ("velocity_alerts", "window_start", lambda r, o: rules.velocity(o.timed(_transactions(r)))),
-    "geolocation_alerts": ("geolocation_alerts", "window_start", lambda r, o: rules.geolocation(o.timed(_transactions(r)), **o.distinct)),
-    "device_alerts": ("device_alerts", "window_start", lambda r, o: rules.device_sharing(o.timed(_transactions(r)), **o.distinct)),
+    "big_amount": ("big_amount", "timestamp", _big_amount),
+    "blacklist_customers": ("blacklist", "timestamp", _blacklisted("customer_id", "blacklist_customers")),
+    "blacklist_devices": ("blacklist", "timestamp", _blacklisted("device_id", "blacklist_devices")),
+    # The same without keys: every hit is kept.
+    "blacklist_append": ("blacklist_append", "timestamp", _both_blacklists),
+    "blacklist_customers_append": ("blacklist_customers_append", "timestamp", _blacklisted("customer_id", "blacklist_customers")),
+    "velocity_alerts": ("velocity_alerts", "window_start", lambda r, o: rules.velocity(o.timed(_rows(r, "transactions", o)))),
+    "geolocation_alerts": ("geolocation_alerts", "window_start", lambda r, o: rules.geolocation(o.timed(_rows(r, "transactions", o)), **o.distinct)),
+    "device_alerts": ("device_alerts", "window_start", lambda r, o: rules.device_sharing(o.timed(_rows(r, "transactions", o)), **o.distinct)),
     "velocity_fraud": ("velocity_fraud", "window_start", _velocity_by_window),
-    "relational_transactions": ("transactions", "timestamp", lambda r, _: rules.copy(
-        decode_strict(r("transactions"), s.TRANSACTIONS_RELATIONAL), s.TRANSACTIONS_RELATIONAL.fieldNames())),
+    "relational_transactions": ("transactions", "timestamp", _relational_transactions),
     "customer_entries": ("blacklist_customers", None, lambda r, _: rules.distinct_entries(
         m.decoded(r("blacklist_customers"), "blacklist_customers", strict=True))),
     "device_entries": ("blacklist_devices", None, lambda r, _: rules.distinct_entries(
@@ -105,9 +139,28 @@ def rule_stream(spark: SparkSession, job: str, read: Read, options: Options = Op
 KEYED = {"big_amount": 0, "blacklist_customers": 0, "blacklist_devices": 1, "velocity_fraud": 0, "relational_transactions": 0}
 
 
-def upsert_log(job: str, path: str) -> UpsertLog:
+def _order(columns: Sequence[str], otherwise: list[str]) -> list[str]:
+    """Messages of one key are in one partition, by offset; across partitions there is no order, but a defined one."""
+    return ["offset", "partition"] if set(PLACE) <= set(columns) else otherwise
+
+
+def upsert_log(job: str, path: str, columns: Sequence[str] = ()) -> UpsertLog:
+    """The log of a job whose rows have ``columns``: the last write is by place in the topic, or else by event time."""
     relation, time, _ = JOBS[job]
-    return UpsertLog(path, s.OUTPUT_KEYS[relation], [time], KEYED[job])
+    return UpsertLog(path, s.OUTPUT_KEYS[relation], _order(columns, [time]), KEYED[job])
+
+
+# Jobs whose relation is a database table, with its columns and what tells the last row of a key in files.
+RELATIONAL = {
+    "relational_transactions": (s.TRANSACTIONS_RELATIONAL, ["timestamp"]),
+    "customer_entries": (s.BLACKLIST_CUSTOMERS, ["description"]),
+    "device_entries": (s.BLACKLIST_DEVICES, ["description"]),
+}
+
+
+def relational_table(job: str, database: Database, table: str, columns: Sequence[str] = ()) -> RelationalTable:
+    schema, otherwise = RELATIONAL[job]
+    return RelationalTable(database, table, schema.fieldNames(), s.OUTPUT_KEYS[JOBS[job][0]], _order(columns, otherwise))
 
 
 def dropped_rows(query: StreamingQuery) -> int:
@@ -139,6 +192,13 @@ def match_per_batch(
     return for_each_batch(tx, run)
 
 
+def _properties(path: str | None) -> dict[str, str]:
+    if not path:
+        return {}
+    with open(path) as lines:
+        return dict(line.strip().split("=", 1) for line in lines if line.strip())
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one detection rule as a stream.")
     parser.add_argument("job", choices=sorted(JOBS))
@@ -151,7 +211,12 @@ def main(arguments: list[str] | None = None) -> None:
     sink.add_argument("--upsert", help="folder of a log of the last row per key; both blacklist jobs can write one")
     sink.add_argument("--land", help="folder of the Parquet table to append to")
     sink.add_argument("--topic", help="Kafka topic to write; default: the relation's name")
+    sink.add_argument("--relational", metavar="URL", help="JDBC address of a database, whose table --table is upserted")
     sink.add_argument("--console", action="store_true")
+    parser.add_argument("--table", help="of --relational; rows go through a table of this name and _staging")
+    parser.add_argument("--driver", default=Database.driver, help="class of the JDBC driver")
+    parser.add_argument("--properties", help="file with a line KEY=VALUE for each property of the JDBC connection, such as user and password")
+    parser.add_argument("--files-per-date", type=int, help="at most as many files per date and micro-batch when landing, for a shuffle")
     parser.add_argument("--checkpoint", help="default: below spark.checkpoint.dir")
     parser.add_argument("--max-files", type=int, default=1_000, help="files per micro-batch")
     parser.add_argument("--max-offsets", type=int, default=20_000_000, help="Kafka messages per micro-batch")
@@ -163,15 +228,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--salts", type=int, help="parts that a key is spread over in a join of two streams; fixed by the first run")
     parser.add_argument("--strict-lateness", action="store_true")
     a = parser.parse_args(arguments)
-    if a.files and not (a.land or a.upsert or a.console):
-        parser.error("reading files needs --land, --upsert or --console")
+    table_or_screen = a.land or a.upsert or a.relational or a.console
+    if a.files and not table_or_screen:
+        parser.error("reading files needs --land, --upsert, --relational or --console")
+    if bool(a.relational) != bool(a.table):
+        parser.error("--relational and --table go together")
+    if a.relational and a.job not in RELATIONAL:
+        parser.error(f"--relational is for {', '.join(sorted(RELATIONAL))}")
     if a.job.startswith("land_") and not (a.land or a.console):
         parser.error("landing a topic needs --land")
     if a.upsert and a.job not in KEYED:
         parser.error(f"--upsert is for {', '.join(sorted(KEYED))}")
 
     topics = {**m.TOPICS, **dict(pair.split("=", 1) for pair in a.source_topic)}
-    written = None if a.files or a.land or a.upsert or a.console else a.topic or JOBS[a.job][0]
+    written = None if a.files or table_or_screen else a.topic or JOBS[a.job][0]
     spark = stream_session(create_session(a.job), a.partitions)
     if a.strict_lateness:
         strict_lateness(spark)
@@ -184,11 +254,14 @@ def main(arguments: list[str] | None = None) -> None:
         return m.from_kafka(spark, m.kafka_read_options(a.servers, topics[relation], a.group, max_offsets=a.max_offsets))
 
     relation, time, _ = JOBS[a.job]
-    df = rule_stream(spark, a.job, read, Options(a.watermark_delay, a.strategy, a.salts))
+    df = rule_stream(spark, a.job, read, Options(a.watermark_delay, a.strategy, a.salts, place=bool(a.land or a.upsert or a.relational)))
     if a.upsert:
-        writer = for_each_batch(df, upsert_log(a.job, a.upsert).write)
+        writer = for_each_batch(df, upsert_log(a.job, a.upsert, df.columns).write)
+    elif a.relational:
+        database = Database(a.relational, _properties(a.properties), a.driver)
+        writer = for_each_batch(df, relational_table(a.job, database, a.table, df.columns).write)
     elif a.land:
-        writer = sinks.land(df, a.land, time) if time else df.writeStream.format("parquet").option("path", a.land)
+        writer = sinks.land(df, a.land, time, files=a.files_per_date) if time else df.writeStream.format("parquet").option("path", a.land)
     elif a.console:
         writer = sinks.to_console(df)
     else:

@@ -26,13 +26,16 @@ def with_date(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn("date", F.to_date(time))
 
 
-def land(df: DataFrame, path: str, time: str, mode: str = "append") -> DataStreamWriter | None:
+def land(df: DataFrame, path: str, time: str, mode: str = "append", files: int | None = None) -> DataStreamWriter | None:
     """Appends to a Parquet table partitioned by the date of ``time``.
 
-    A batch is written at once. For a stream the writer is returned, to be started with a checkpoint.
+    A batch is written at once. For a stream the writer is returned, to be started with a checkpoint;
+    its micro-batches add a file per task and date, or with ``files`` at most that many per date, for a shuffle.
     """
     dated = with_date(df, time)
     if df.isStreaming:
+        if files:
+            dated = dated.repartition("date", F.pmod(F.xxhash64(*df.columns), F.lit(files)))
         return dated.writeStream.format("parquet").partitionBy("date").option("path", path).outputMode("append")
     # Rows of one date are brought together, or else every task adds a file per date it holds;
     # adaptive execution splits busy dates over several tasks and joins quiet ones.

@@ -7,8 +7,9 @@ database through a staging table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -63,24 +64,48 @@ def merge_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[s
 
 
 @dataclass(frozen=True)
-class RelationalTable:
-    """``execute`` runs a statement at the database; ``options`` are those of Spark's JDBC writer."""
+class Database:
+    """A database reached by JDBC: ``stage`` overwrites a table with rows, ``execute`` runs a statement there."""
 
     url: str
+    properties: dict[str, str] = field(default_factory=dict)
+    driver: str = "org.postgresql.Driver"
+    connections: int = 16
+
+    def stage(self, rows: DataFrame, table: str) -> None:
+        options = {**self.properties, "url": self.url, "driver": self.driver, "dbtable": table}
+        writer = rows.write.format("jdbc").options(truncate="true", numPartitions=str(self.connections), **options)
+        writer.mode("overwrite").save()
+
+    def execute(self, spark: SparkSession, statement: str) -> None:
+        jvm = spark._jvm
+        properties = jvm.java.util.Properties()
+        for key, value in self.properties.items():
+            properties.setProperty(key, value)
+        connection = reduce(getattr, self.driver.split("."), jvm)().connect(self.url, properties)
+        try:
+            connection.createStatement().execute(statement)
+        finally:
+            connection.close()
+
+
+@dataclass(frozen=True)
+class RelationalTable:
+    """A table of ``database`` keyed by ``keys``; of several rows of a key the last by ``order`` counts,
+    and where these tie, that of the greatest hash."""
+
+    database: Database
     table: str
-    staging: str
     columns: Sequence[str]
     keys: Sequence[str]
     order: Sequence[str]
-    execute: Callable[[str], None]
-    options: dict[str, str] = field(default_factory=dict)
-    connections: int = 16
+
+    @property
+    def staging(self) -> str:
+        return f"{self.table}_staging"
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``; running a batch again gives the same table."""
-        latest = latest_by_key(batch, list(self.keys), [F.col(c) for c in self.order]).select(*self.columns)
-        writer = latest.write.format("jdbc").options(
-            url=self.url, dbtable=self.staging, truncate="true", numPartitions=str(self.connections), **self.options
-        )
-        writer.mode("overwrite").save()
-        self.execute(merge_sql(self.table, self.staging, self.columns, self.keys))
+        order = [*[F.col(c) for c in self.order], F.xxhash64(*self.columns)]
+        self.database.stage(latest_by_key(batch, list(self.keys), order).select(*self.columns), self.staging)
+        self.database.execute(batch.sparkSession, merge_sql(self.table, self.staging, self.columns, self.keys))

@@ -14,7 +14,7 @@ from fraudlens.session import stream_session
 from fraudlens.sources import driver_tables
 from fraudlens.sources.messages import decoded, from_files
 from fraudlens.streaming import jobs, sinks
-from fraudlens.streaming.upsert import UpsertLog
+from fraudlens.streaming.upsert import Database, UpsertLog
 
 
 class Feed:
@@ -254,7 +254,7 @@ def test_every_job_runs_from_the_command_line(spark, tmp_path, job):
     expected = {
         "land_transactions": 8, "relational_transactions": 8, "land_big_amount": 1, "land_blacklist": 1, "land_velocity_alerts": 3,
         "land_geolocation_alerts": 3, "land_device_alerts": 3, "big_amount": 6, "blacklist_customers": 6, "blacklist_devices": 6, "velocity_alerts": 6, "geolocation_alerts": 5,
-        "device_alerts": 5, "velocity_fraud": 6, "customer_entries": 1, "device_entries": 1,
+        "device_alerts": 5, "velocity_fraud": 6, "customer_entries": 1, "device_entries": 1, "blacklist_append": 12, "blacklist_customers_append": 6,
     }
     assert spark.read.parquet(str(tmp_path / "out")).count() == expected[job]
 
@@ -290,6 +290,61 @@ def test_a_keyed_table_from_a_job(spark, tmp_path):
     assert rows(upserted(spark, tmp_path, "big_amount"), "transaction_id", "location") == [("TX1", "last")]
 
 
+def placed(session, tmp_path, *messages):
+    """Messages with partition and offset, as a topic has them."""
+    values = [(json.dumps(r), partition, offset) for r, partition, offset in messages]
+    df = session.createDataFrame(values, "value string, partition int, offset long")
+    df.coalesce(1).write.parquet(str(tmp_path / "topic"))
+    return lambda _: session.readStream.schema(df.schema).parquet(str(tmp_path / "topic"))
+
+
+@pytest.mark.parametrize("job", ["land_transactions", "big_amount", "relational_transactions"])
+def test_rows_carry_the_place_of_their_message(session, tmp_path, job):
+    big = {"amount": 20_000_000}
+    read = placed(session, tmp_path, (record(1, "00:00:09", location="first", **big), 3, 7), (record(1, "00:00:01", location="last", **big), 3, 8))
+    df = jobs.rule_stream(session, job, read, jobs.Options(place=True))
+    assert set(df.columns) - set(jobs.rule_stream(session, job, read).columns) == {"partition", "offset"}
+    if job in jobs.KEYED:
+        log = jobs.upsert_log(job, str(tmp_path / "log"), df.columns)
+        jobs.start(jobs.for_each_batch(df, log.write), str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+        assert rows(log.view(session), "transaction_id", "location", "offset") == [("TX1", "last", 8)]
+    else:
+        assert rows(drain(session, df, tmp_path), "partition", "offset") == [(3, 7), (3, 8)]
+
+
+def test_windowed_rules_and_messages_have_no_place(session, tmp_path):
+    read = placed(session, tmp_path, (record(1, "00:00:09"), 3, 7))
+    assert "offset" not in jobs.rule_stream(session, "velocity_alerts", read, jobs.Options(place=True)).columns
+    assert jobs.rule_stream(session, "big_amount", read).columns == s.TRANSACTION_COLUMNS
+
+
+def test_relational_tables_from_jobs(spark, tmp_path, monkeypatch):
+    done = []
+    monkeypatch.setattr(Database, "stage", lambda self, df, table: done.append((self.properties, table, rows(df))))
+    monkeypatch.setattr(Database, "execute", lambda self, session, statement: done.append(statement))
+    (tmp_path / "in").mkdir()
+    Feed(tmp_path / "in" / "transactions").add(record(1, "00:00:03", location="last"), record(1, "00:00:01", location="first"), record(2, "00:00:01"))
+    Feed(tmp_path / "in" / "blacklist_customers").add(*[{"customer_id": "a", "description": d} for d in "xyx"])
+    (tmp_path / "properties").write_text("user=u\npassword=p=q\n")
+    for job, table in (("relational_transactions", "public.tx"), ("customer_entries", "public.listed")):
+        jobs.main([job, "--files", str(tmp_path / "in"), "--relational", "jdbc:x", "--table", table, "--properties", str(tmp_path / "properties"),
+                   "--checkpoint", str(tmp_path / job), "--available-now"])
+    first, merge, second, _ = done
+    assert first[:2] == ({"user": "u", "password": "p=q"}, "public.tx_staging")
+    assert [(r[0], r[6]) for r in first[2]] == [("TX1", "last"), ("TX2", "x")]
+    assert merge.startswith("INSERT INTO public.tx (") and 'ON CONFLICT ("transaction_id")' in merge
+    assert second[2] == [("a", "y")]
+
+
+def test_landing_writes_few_files_per_date(session, feed, tmp_path):
+    feed.add(*[record(i, f"00:00:{i:02}") for i in range(40)])
+    spread = transactions(session, feed).repartition(4)
+    path = str(tmp_path / "landed")
+    jobs.start(sinks.land(spread, path, "timestamp", files=2), str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    found = session.read.parquet(path)
+    assert found.count() == 40 and len(found.inputFiles()) <= 2
+
+
 def test_a_batch_without_rows_replaces_its_part(session, tmp_path):
     log = UpsertLog(str(tmp_path / "log"), ["k"], ["o"])
     df = session.createDataFrame([("a", 1, "x"), ("a", 1, "y")], "k string, o int, v string")
@@ -308,6 +363,7 @@ def test_a_batch_without_rows_replaces_its_part(session, tmp_path):
 @pytest.mark.parametrize("arguments", [
     ["land_big_amount", "--servers", "x"], ["velocity_alerts", "--servers", "x", "--upsert", "y"], ["velocity_alerts", "--files", "x"],
     ["big_amount", "--servers", "x", "--topic", "transactions-stream"],
+    ["customer_entries", "--servers", "x", "--relational", "jdbc:x"], ["velocity_alerts", "--servers", "x", "--relational", "jdbc:x", "--table", "t"],
 ])
 def test_jobs_that_would_feed_themselves_are_refused(spark, arguments, capsys):
     with pytest.raises(SystemExit):
