@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -190,6 +190,17 @@ def encode_geolocation(spark, sf_dir):
     return sinks.messages(rules.geolocation(t.transactions(spark, sf_dir)), "geolocation_alerts")
 
 
+@query
+def encode_blacklist(spark, sf_dir):
+    """Hits of both lists as messages without keys."""
+    return sinks.messages(blacklist_append(spark, sf_dir), "blacklist_append")
+
+
+@query
+def encode_blacklist_customers(spark, sf_dir):
+    return sinks.messages(blacklist_customers(spark, sf_dir), "blacklist_customers_append")
+
+
 @query
 def encode_window_keys(spark, sf_dir):
     tx = t.transactions(spark, sf_dir)
@@ -210,7 +221,7 @@ def alerts_from_messages(spark, sf_dir):
 
 @query
 def normalised_places(spark, sf_dir):
-    tx = t.transactions(spark, sf_dir).withColumn("location", F.concat(F.lit(" "), F.initcap("location")))
+    tx = t.transactions(spark, sf_dir).withColumn("location", F.concat(F.lit(" "), F.when(F.col("event_id") % 2 == 0, F.initcap("location")).otherwise(F.upper("location"))))
     return rules.geolocation(rules.normalise_places(tx, "location"))
 
 
@@ -301,13 +312,30 @@ def panel_date_range(spark, sf_dir):
     return monitor.counts(events, "ts", "event_type", "500 milliseconds")
 
 
+@query
+def panel_date_time(spark, sf_dir):
+    events = t.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    chosen = monitor.in_date_time(events, "day", "ts", datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 20, 18, 30))
+    return monitor.counts(chosen, "ts", "event_type", "1 hour")
+
+
+def _landed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, which several rules can read."""
+    folder = shared_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 @query
 def alert_rollup(spark, sf_dir):
-    tx = t.transactions(spark, sf_dir)
+    """The events are read and decoded once, and every rule reads the columns it needs of the transactions."""
+    columns = [c for c in s.TRANSACTION_COLUMNS if c not in ("transaction_id", "merchant", "payment_method")]
+    nulls = {c: F.lit(None).cast("string") for c in s.TRANSACTION_COLUMNS if c not in columns}
+    tx = _landed(spark, t.transactions(spark, sf_dir).select(*columns), "transactions").withColumns(nulls)
     hits = rules.blacklist_hits(tx, t.blacklist_customers(spark, sf_dir), t.blacklist_devices(spark, sf_dir))
     return monitor.alert_rollup(
         {
-            "big_amount": (rules.big_amount(t.transactions(spark, sf_dir, above=s.BIG_AMOUNT)), "timestamp"),
+            "big_amount": (rules.big_amount(tx), "timestamp"),
             "blacklist": (hits, "timestamp"),
             "velocity_alerts": (rules.velocity(tx), "window_start"),
             "geolocation_alerts": (rules.geolocation(tx), "window_start"),
@@ -345,6 +373,39 @@ def _closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.unionByName(session.readStream.schema(tx.schema).parquet(folder))
 
 
+def _in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions written in four slices of time, one after the other, with the closing row behind them,
+    as a stream of several micro-batches. Rows are out of order by a slice at most."""
+    session = stream_session(spark)
+    folder = shared_folder(session, "slices")
+    events = t.table(session, sf_dir, "events")
+    limits = [datetime(2024, 1, 1) + i * SLICE for i in range(1, 4)]
+    since = [F.lit(True), *[F.col("ts") >= x for x in limits]]
+    until = [*[F.col("ts") < x for x in limits], F.lit(True)]
+    for first, last in zip(since, until, strict=True):
+        part = t.to_transactions(events.where(first & last))
+        part.withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.mode("append").parquet(folder)
+    rows = session.read.parquet(folder)
+    per_batch = max(1, len(rows.inputFiles()) // 4)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != "timestamp"]
+    rows.agg(F.expr("max(timestamp) + INTERVAL 1 DAY").alias("timestamp")).select(*empty, "timestamp").write.mode("append").parquet(folder)
+    return session.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
+
+
+# A quarter of the table's thirty days, and of the hour that they are pressed into.
+SLICE, SLICE_PRESSED = timedelta(days=7, hours=12), "15 minutes"
+
+
+@query
+def stream_velocity_in_batches(spark, sf_dir):
+    return _run(spark, rules.velocity(rules.with_watermark(_in_slices(spark, sf_dir), delay=SLICE_PRESSED)), "velocity")
+
+
+@query
+def stream_device_in_batches(spark, sf_dir):
+    return _run(spark, rules.device_sharing(rules.with_watermark(_in_slices(spark, sf_dir), delay=SLICE_PRESSED)), "device")
+
+
 @query
 def stream_big_amount(spark, sf_dir):
     return _run(spark, rules.big_amount(_stream(spark, sf_dir)), "big_amount")
@@ -383,6 +444,36 @@ def stream_blacklist_devices(spark, sf_dir):
     return _wall_clock(log.view(tx.sparkSession), "timestamp")
 
 
+@query
+def stream_blacklist_devices_joined(spark, sf_dir):
+    """Against the dictionary as a stream."""
+    tx = _stream(spark, sf_dir)
+    return _run(spark, rules.blacklisted_devices(tx, t.to_blacklist_devices(t.stream_of(tx.sparkSession, sf_dir, "part"))), "devices")
+
+
+def _keyed(spark: SparkSession, writers: list[DataFrame], name: str) -> DataFrame:
+    """The table that streams write by transaction id, the later one winning ties."""
+    folder = shared_folder(spark, name)
+    for number, df in enumerate(writers):
+        log = UpsertLog(f"{folder}/log", ["transaction_id"], ["event_id"], number)
+        jobs.start(jobs.for_each_batch(df, log.write), f"{folder}/checkpoint{number}", available_now=True).awaitTermination()
+    return _wall_clock(log.view(writers[0].sparkSession), "timestamp").drop("event_id")
+
+
+@query
+def stream_blacklist_latest(spark, sf_dir):
+    tx = _stream(spark, sf_dir)
+    customers = t.to_blacklist_customers(t.stream_of(tx.sparkSession, sf_dir, "customer"))
+    devices = t.to_blacklist_devices(t.stream_of(tx.sparkSession, sf_dir, "part"))
+    carry = ("event_id",)
+    return _keyed(spark, [rules.blacklisted_customers(tx, customers, carry=carry), rules.blacklisted_devices(tx, devices, carry=carry)], "blacklist")
+
+
+@query
+def stream_big_amount_latest(spark, sf_dir):
+    return _keyed(spark, [rules.big_amount(_by_second(_stream(spark, sf_dir)), carry=("event_id",))], "big")
+
+
 @query
 def stream_dictionary_distinct(spark, sf_dir):
     orders = t.stream_of(stream_session(spark), sf_dir, "orders")

@@ -59,6 +59,8 @@ TX_LATEST = f"""SELECT {COLUMNS} FROM (
 def _json(fields: list[str]) -> str:
     """A JSON object of the columns; the windows begin and end on whole seconds."""
     def value(f: str) -> str:
+        if f == "timestamp":
+            return 'CAST("timestamp" AS VARCHAR)'
         return f"strftime({f}, '%Y-%m-%d %H:%M:%S')" if f.startswith("window_") else f
 
     return "CAST(json_object(" + ", ".join(f"'{f}', {value(f)}" for f in fields) + ") AS VARCHAR)"
@@ -129,6 +131,8 @@ FROM ({TX_LATEST})""",
   {_json(['customer_id', 'window_start', 'window_end', 'txn_count', 'alert_message'])} AS "value" FROM ({VELOCITY})""",
     "encode_geolocation": f"""WITH {TX} SELECT {_json(['customer_id'])} AS "key",
   {_json(['customer_id', 'window_start', 'window_end', 'distinct_locations', 'alert_message'])} AS "value" FROM ({GEO})""",
+    "encode_blacklist": f"""WITH {TX}, {BC}, {BD} SELECT {_json(s.BLACKLIST_COLUMNS)} AS "value" FROM ({JOIN_C} UNION ALL {JOIN_D})""",
+    "encode_blacklist_customers": f"""WITH {TX}, {BC} SELECT {_json(s.BLACKLIST_COLUMNS)} AS "value" FROM ({JOIN_C})""",
     "encode_window_keys": f"""WITH {TX} SELECT {_json(['customer_id', 'window_start'])} AS "key",
   {_json(['customer_id', 'tx_count', 'window_start', 'window_end'])} AS "value" FROM ({VELOCITY_BY_WINDOW})""",
     "encode_unkeyed": f"""WITH {TX} SELECT
@@ -146,7 +150,7 @@ FROM events GROUP BY user_id ORDER BY duration DESC, user_id LIMIT 100""",
     "panel_detail": """WITH chosen AS (SELECT user_id FROM events ORDER BY value DESC, user_id DESC LIMIT 1),
 span AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type = 'purchase' AND user_id = (SELECT user_id FROM chosen))
 SELECT user_id, event_id, event_type, ts, value * 0.001 AS duration, 'k=' || json_extract_string(props, '$.k') AS tags
-FROM events WHERE user_id = (SELECT user_id FROM chosen) AND ts >= (SELECT lo FROM span) AND ts <= (SELECT hi FROM span) AND value > 0
+FROM events WHERE user_id = (SELECT user_id FROM chosen) AND ts >= (SELECT lo FROM span) AND ts <= (SELECT hi FROM span) + INTERVAL 1 SECOND AND value > 0
 ORDER BY ts DESC, value DESC, event_id DESC LIMIT 1000""",
     "panel_page": "SELECT ts, props, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000",
     "panel_distinct": "SELECT DISTINCT event_type FROM events",
@@ -160,6 +164,8 @@ GROUP BY 1, 2 ORDER BY 1, 2""",
 WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY 1, 2""",
     "panel_date_range": """SELECT make_timestamp((epoch_us(ts) // 500000) * 500000) AS "time", event_type, count(*) AS n FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1, 2""",
+    "panel_date_time": """SELECT date_trunc('hour', ts) AS "time", event_type, count(*) AS n FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY 1, 2""",
     "alert_rollup": f"""WITH {TX}, {BC}, {BD}, alerts AS (
   SELECT 'big_amount' AS rule, "timestamp" AS raised FROM tx WHERE amount > 10000000
   UNION ALL SELECT 'blacklist', "timestamp" FROM ({JOIN_C} UNION ALL {JOIN_D})
@@ -172,8 +178,13 @@ SELECT rule, make_timestamp((epoch_us(raised) // 300000000) * 300000000) AS "tim
     "stream_geolocation_alerts": f"WITH {TX} SELECT * FROM ({GEO})",
     "stream_device_alerts": f"WITH {TX} SELECT * FROM ({DEVICE})",
     "stream_blacklist_customers": f"WITH {TX}, {BC} {JOIN_C}",
+    "stream_velocity_in_batches": f"WITH {TX} SELECT * FROM ({VELOCITY})",
+    "stream_device_in_batches": f"WITH {TX} SELECT * FROM ({DEVICE})",
+    "stream_blacklist_devices_joined": f"WITH {TX}, {BD} {JOIN_D}",
     "stream_blacklist_devices": f"WITH {TX}, {BD} {JOIN_D}",
     "stream_dictionary_distinct": f"WITH {FEED} SELECT DISTINCT customer_id, description FROM feed",
     "stream_tx_latest": f"WITH {TX} {TX_LATEST}",
     "stream_landed_transactions": f"WITH {TX} SELECT {COLUMNS} FROM tx",
 }
+ORACLES["stream_blacklist_latest"] = ORACLES["blacklist_latest"]
+ORACLES["stream_big_amount_latest"] = ORACLES["big_amount_latest"]

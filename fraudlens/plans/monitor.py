@@ -44,6 +44,15 @@ def in_dates(df: DataFrame, time: str, first: date | None = None, last: date | N
     return df
 
 
+def in_date_time(df: DataFrame, day: str, time: str, first: datetime | None = None, last: datetime | None = None) -> DataFrame:
+    """Rows from ``first`` to ``last`` of a table with a column for the date too, whose limits skip whole partitions."""
+    if first is not None:
+        df = df.where(F.col(day) >= F.lit(first.date()))
+    if last is not None:
+        df = df.where(F.col(day) <= F.lit(last.date()))
+    return in_time(df, time, first, last)
+
+
 def bucket(time: str, step: str) -> Column:
     return F.window(time, step).start
 
@@ -119,15 +128,16 @@ def json_tags(column: str) -> Column:
 
 
 def detail(
-    df: DataFrame, spans: DataFrame, ident: str, time: str, measure: str, tie: str, chosen: Column, limit: int = PAGE_LIMIT
+    df: DataFrame, spans: DataFrame, ident: str, time: str, measure: str, tie: str, chosen: Column, limit: int = PAGE_LIMIT,
+    slack: str = "1 second",
 ) -> DataFrame:
     """Rows of one id within its span, the latest first; ``tie`` is a column that tells all rows apart.
-    ``spans`` holds ``span_start`` and ``span_end`` per id.
+    ``spans`` holds ``span_start`` and ``span_end`` per id; ends may be cut to the second, and ``slack`` makes up for it.
 
     Both limits are scalar subqueries, whose results Spark hands to the scan as plain values.
     """
     own = spans.where(F.col(ident) == chosen)
-    start, end = own.select(F.min("span_start")).scalar(), own.select(F.max("span_end")).scalar()
+    start, end = own.select(F.min("span_start")).scalar(), own.select(F.max("span_end") + F.expr(f"INTERVAL {slack}")).scalar()
     return (
         df.where((F.col(ident) == chosen) & (F.col(time) >= start) & (F.col(time) <= end) & (F.col(measure) > 0))
         .orderBy(F.desc(time), F.desc(measure), F.desc(tie))

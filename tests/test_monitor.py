@@ -38,6 +38,17 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     assert "LessThan(ts" in plan(monitor.in_dates(df, "ts", last=date(2024, 1, 1)))
 
 
+def test_a_date_column_prunes_and_the_time_decides(spark, tmp_path):
+    df = sample(spark).withColumn("day", F.to_date("ts"))
+    df.write.partitionBy("day").parquet(str(tmp_path / "days"))
+    landed = spark.read.parquet(str(tmp_path / "days"))
+    first, last = df.agg(F.min("ts"), F.max("ts")).first()
+    chosen = monitor.in_date_time(landed, "day", "ts", first, first)
+    assert {r.ts for r in chosen.collect()} == {first} and "PartitionFilters: [isnotnull(day" in plan(chosen)
+    assert monitor.in_date_time(landed, "day", "ts", first, last).count() == landed.count()
+    assert monitor.in_date_time(landed, "day", "ts").count() == landed.count()
+
+
 def test_buckets_and_limits(spark):
     found = rows(monitor.counts(sample(spark), "ts", "series", "10 seconds"))
     assert found[0] == (at("00:00:00"), "a", 2) and len(found) == 3

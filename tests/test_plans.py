@@ -46,6 +46,12 @@ def test_only_needed_columns_are_read(spark, name, columns):
     assert {c.split(":")[0] for part in read for c in part.split(",")} == columns
 
 
+def test_the_rollup_reads_the_events_once(spark):
+    text = plan(QUERIES["alert_rollup"](spark, DATA))
+    assert "events.parquet" not in text and text.count("/transactions-") >= 5
+    assert "GreaterThan(amount,10000000)" in text
+
+
 def test_stored_amounts_are_filtered_in_the_scan(spark, tmp_path):
     QUERIES["tx_copy"](spark, DATA).write.parquet(str(tmp_path / "tx"))
     text = plan(rules.big_amount(spark.read.parquet(str(tmp_path / "tx"))))
