@@ -161,6 +161,13 @@ def decode_strict_records(spark, sf_dir):
     return _wall_clock(decoded, "timestamp")
 
 
+@query
+def decode_strict_dictionary(spark, sf_dir):
+    """Dictionary messages of a strict source, each entry once."""
+    feed = t.dictionary_feed(spark, sf_dir).select(F.to_json(F.struct("customer_id", "description")).alias("value"))
+    return rules.distinct_entries(decoded(feed, "blacklist_customers", strict=True))
+
+
 @query
 def decode_narrow_records(spark, sf_dir):
     decoded = decode_lenient(t.payloads(t.transactions(spark, sf_dir)), s.TRANSACTIONS_NARROW, carry=("event_id",))

@@ -103,6 +103,7 @@ WHERE rn = 1""",
     "tx_left_blacklist": f"""WITH {TX}, {BC}
 SELECT {T_COLUMNS}, {LABEL}, b.description FROM tx t LEFT JOIN bc b ON t.customer_id = b.customer_id""",
     "dictionary_distinct": f"WITH {FEED} SELECT DISTINCT customer_id, description FROM feed",
+    "decode_strict_dictionary": f"WITH {FEED} SELECT DISTINCT customer_id, description FROM feed",
     "dictionary_latest": f"""WITH {FEED} SELECT customer_id, description FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY o_orderkey DESC) AS rn FROM feed) WHERE rn = 1""",
     "velocity_windows": f"WITH {TX} {_hop('customer_id', 60, 10, 'count(*) AS txn_count', 'count(*) >= 1')}",

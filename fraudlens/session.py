@@ -21,22 +21,29 @@ SETTINGS = {
 }
 
 
-def _apply_settings(spark: SparkSession) -> SparkSession:
+# What a shuffle partition should hold at most when a batch reads all its input.
+PARTITION_BYTES = 128 << 20
+
+
+def _apply_settings(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     """What was given to spark-submit or to the builder stays."""
     given = dict(spark.sparkContext.getConf().getAll())
     # Adaptive execution joins small partitions, but never makes more of them than it began with.
-    begin = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * spark.sparkContext.defaultParallelism)}
+    partitions = max(4 * spark.sparkContext.defaultParallelism, -(-input_bytes // PARTITION_BYTES))
+    begin = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
     for key, value in {**SETTINGS, **begin}.items():
         if key not in given:
             spark.conf.set(key, value)
     return spark
 
 
-def create_session(name: str = "fraudlens", **settings: str) -> SparkSession:
+def create_session(name: str = "fraudlens", input_bytes: int = 0, **settings: str) -> SparkSession:
+    """``input_bytes`` is the size of what batches read; the cores present at the start say little about it
+    where executors come and go."""
     builder = SparkSession.builder.appName(name)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return _apply_settings(builder.getOrCreate())
+    return _apply_settings(builder.getOrCreate(), input_bytes)
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:

@@ -144,10 +144,10 @@ def _order(columns: Sequence[str], otherwise: list[str]) -> list[str]:
     return ["offset", "partition"] if set(PLACE) <= set(columns) else otherwise
 
 
-def upsert_log(job: str, path: str, columns: Sequence[str] = ()) -> UpsertLog:
+def upsert_log(job: str, path: str, columns: Sequence[str] = (), compact_every: int | None = None) -> UpsertLog:
     """The log of a job whose rows have ``columns``: the last write is by place in the topic, or else by event time."""
     relation, time, _ = JOBS[job]
-    return UpsertLog(path, s.OUTPUT_KEYS[relation], _order(columns, [time]), KEYED[job])
+    return UpsertLog(path, s.OUTPUT_KEYS[relation], _order(columns, [time]), KEYED[job], compact_every)
 
 
 # Jobs whose relation is a database table, with its columns and what tells the last row of a key in files.
@@ -209,6 +209,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--source-topic", action="append", default=[], metavar="INPUT=TOPIC", help="read an input from another topic")
     sink = parser.add_mutually_exclusive_group()
     sink.add_argument("--upsert", help="folder of a log of the last row per key; both blacklist jobs can write one")
+    parser.add_argument("--compact-every", type=int, help="micro-batches whose parts of the --upsert log become one")
     sink.add_argument("--land", help="folder of the Parquet table to append to")
     sink.add_argument("--topic", help="Kafka topic to write; default: the relation's name")
     sink.add_argument("--relational", metavar="URL", help="JDBC address of a database, whose table --table is upserted")
@@ -256,7 +257,7 @@ def main(arguments: list[str] | None = None) -> None:
     relation, time, _ = JOBS[a.job]
     df = rule_stream(spark, a.job, read, Options(a.watermark_delay, a.strategy, a.salts, place=bool(a.land or a.upsert or a.relational)))
     if a.upsert:
-        writer = for_each_batch(df, upsert_log(a.job, a.upsert, df.columns).write)
+        writer = for_each_batch(df, upsert_log(a.job, a.upsert, df.columns, a.compact_every).write)
     elif a.relational:
         database = Database(a.relational, _properties(a.properties), a.driver)
         writer = for_each_batch(df, relational_table(a.job, database, a.table, df.columns).write)

@@ -21,6 +21,9 @@ class UpsertLog:
     """``order`` names the columns that say which row of a key was written last. Where they tie, the
     greater ``writer``, then the later micro-batch, then a hash of the row decides, so that the last row is defined.
 
+    With ``compact_every``, the parts of that many micro-batches become one as the stream goes on, so
+    that the log has the size of its table and of the latest batches.
+
     Several streams can write one log: each with a ``writer`` number and a checkpoint of its own.
     """
 
@@ -28,6 +31,11 @@ class UpsertLog:
     keys: Sequence[str]
     order: Sequence[str]
     writer: int = 0
+    compact_every: int | None = None
+
+    @property
+    def _own(self) -> str:
+        return f"{self.path}/writer={self.writer}"
 
     def _latest(self, df: DataFrame, *ties: str) -> DataFrame:
         rest = [f.name for f in df.schema if f.name not in ties]
@@ -36,7 +44,29 @@ class UpsertLog:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``. A batch that is run again replaces its own part, also by no rows. The
         log goes with the checkpoint of the stream: begin both anew together."""
-        self._latest(batch).write.mode("overwrite").parquet(f"{self.path}/writer={self.writer}/batch={batch_id}")
+        self._latest(batch).write.mode("overwrite").parquet(f"{self._own}/batch={batch_id}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact_in_place(batch.sparkSession)
+
+    def compact_in_place(self, spark: SparkSession) -> None:
+        """Makes one part of all parts of this writer but the latest, which the stream may run again.
+
+        The new part stands before all micro-batches, and the old ones go after it is whole: whatever
+        remains after a failure gives the same view. A view that has listed the old parts already
+        fails on reading them, and is to be asked again.
+        """
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self._own)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(folder)]
+        batches = sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+        old = batches[:-1]
+        if len(old) < 2:
+            return
+        paths = [f"{self._own}/batch={b}" for b in old]
+        parts = spark.read.option("basePath", self._own).parquet(*paths)
+        self._latest(parts, "batch").drop("batch").write.mode("error").parquet(f"{self._own}/batch={min(*old, 0) - 1}")
+        for path in paths:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
     def view(self, spark: SparkSession) -> DataFrame:
         return self._latest(spark.read.parquet(self.path), "writer", "batch").drop("batch", "writer")
@@ -45,7 +75,7 @@ class UpsertLog:
         """The log reduced to the last row per key, in a new folder, as a batch before all others."""
         last = self._latest(spark.read.parquet(self.path), "writer", "batch").drop("batch", "writer")
         last.write.mode("error").parquet(f"{target}/writer={self.writer}/batch=-1")
-        return UpsertLog(target, self.keys, self.order, self.writer)
+        return UpsertLog(target, self.keys, self.order, self.writer, self.compact_every)
 
 
 def merge_sql(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:

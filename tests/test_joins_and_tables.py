@@ -8,7 +8,7 @@ from fraudlens import schemas as s
 from fraudlens.operators.joins import dictionary_join, measured_bytes
 from fraudlens.operators.latest import latest_by_key
 from fraudlens.plans import rules
-from fraudlens.session import drop_if_present, register_if_absent, require_utc, shared_folder
+from fraudlens.session import create_session, drop_if_present, register_if_absent, require_utc, shared_folder
 from fraudlens.sources.messages import kafka_read_options
 from fraudlens.streaming import sinks
 from fraudlens.streaming.upsert import UpsertLog, merge_sql
@@ -175,6 +175,15 @@ def test_shared_folder_follows_the_setting(spark):
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
 
 
+def test_batch_partitions_follow_the_size_of_the_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name)
+    assert int(before) == 4 * spark.sparkContext.defaultParallelism
+    create_session(input_bytes=100 << 40)
+    assert int(spark.conf.get(name)) == 100 << 40 >> 27
+    spark.conf.set(name, before)
+
+
 def test_session_zone_is_checked(spark):
     require_utc(spark)
     other = spark.newSession()

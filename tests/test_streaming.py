@@ -318,6 +318,29 @@ def test_windowed_rules_and_messages_have_no_place(session, tmp_path):
     assert jobs.rule_stream(session, "big_amount", read).columns == s.TRANSACTION_COLUMNS
 
 
+def test_a_log_that_compacts_itself_equals_one_that_does_not(session, tmp_path):
+    logs = [UpsertLog(str(tmp_path / name), ["k"], ["o"], compact_every=every) for name, every in (("plain", None), ("short", 2))]
+    for batch_id in [*range(7), 6, 7, 7]:
+        batch = session.range(batch_id + 1).selectExpr("id % 4 AS k", f"{batch_id} % 3 AS o", f"{batch_id} AS v")
+        for log in logs:
+            log.write(batch, batch_id)
+        plain, short = (rows(log.view(session), "k", "o", "v") for log in logs)
+        assert plain == short
+    parts = [p for p in os.listdir(logs[1].path + "/writer=0") if p.startswith("batch=")]
+    assert len(parts) <= 3 < len(os.listdir(logs[0].path + "/writer=0"))
+
+
+def test_two_writers_compact_their_own_parts(session, tmp_path):
+    first, second = (UpsertLog(str(tmp_path / "log"), ["k"], ["o"], writer) for writer in (0, 1))
+    df = session.createDataFrame([("a", 1)], "k string, o int")
+    for batch_id in range(3):
+        second.write(df.selectExpr("*", f"'second{batch_id}' AS v"), batch_id)
+        first.write(df.selectExpr("*", f"'first{batch_id}' AS v"), batch_id)
+    first.compact_in_place(session)
+    second.compact_in_place(session)
+    assert rows(first.view(session), "v") == [("second2",)]
+
+
 def test_relational_tables_from_jobs(spark, tmp_path, monkeypatch):
     done = []
     monkeypatch.setattr(Database, "stage", lambda self, df, table: done.append((self.properties, table, rows(df))))
