@@ -37,6 +37,9 @@ OUTSIDE = frozenset(
     "complementary contentinfo search pagination pager toolbar dialog hidden".split()
 )
 INSIDE = frozenset("article main articlebody content post entry story post-content entry-content article-content article-body post-body story-body".split())
+# Elements whose classes describe the page, and words by which a class says what is beside an element.
+FRAMES = frozenset("html body main article".split())
+BESIDE = frozenset("no has with without".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 PRIOR = 2000
 
@@ -101,7 +104,8 @@ def parts(html: str) -> list[Part]:
         own = [name]
         if len(attributes) > 2:
             for m in _NAMES.finditer(attributes):
-                own += (m[1] or m[2] or m[3] or "").lower().split()
+                given = (m[1] or m[2] or m[3] or "").lower().split()
+                own += [x for x in given if not _outside(x)] if name in FRAMES else given
             if _HIDDEN.search(attributes):
                 own.append("hidden")
         if name == "br":
@@ -123,7 +127,8 @@ def parts(html: str) -> list[Part]:
 
 
 def _outside(name: str) -> bool:
-    return name in OUTSIDE or any(x in OUTSIDE for x in re.split(r"[-_]", name))
+    words = re.split(r"[-_]", name)
+    return name in OUTSIDE or (BESIDE.isdisjoint(words) and not OUTSIDE.isdisjoint(words))
 
 
 def _labelled(html: str) -> Counter:

@@ -118,6 +118,13 @@ def test_main_text():
         assert isinstance(html.extract(broken, MODEL), str)
 
 
+def test_classes_of_the_whole_page_hide_nothing():
+    inner = '<main class="no-sidebar"><article class="post comments-open"><p>One two three.</p></article></main>'
+    for frame in ('<html class="no-js cookies"><body class="has-sidebar">', '<body class="right-sidebar"><div class="layout-with-sidebar">'):
+        assert html.extract(f'{frame}{inner}<div class="right-sidebar"><p>Beside it all</p></div>', MODEL) == "One two three."
+    assert html.extract("<main hidden><p>One two</p></main>", MODEL) == ""
+
+
 def test_pages_with_labels_give_their_articles(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     found = queries.QUERIES["op1_html"](spark, DATA).collect()
