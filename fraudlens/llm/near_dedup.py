@@ -29,6 +29,8 @@ SHINGLE_HASH, REGISTER_HASH, DIGEST_HASH = 21, 22, 23
 # Standard deviations that an estimate may lie below the threshold.
 SLACK = 4.5
 BAND_ROWS, SET_ROWS, PACK_ROWS, SET_PACK_ROWS = 1024, 256, 20_000, 1_000
+# Within a part, the smallest id comes first, so that what is linked with it is paired with it.
+PART_ORDER = ("key", "part", "id")
 SMALL_IDS = 500_000
 
 
@@ -123,7 +125,7 @@ def _alike(n: np.ndarray, found: np.ndarray, least: float, percent: int) -> np.n
 
 def _sketch_links(least: float, percent: int):
     def links(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("key", "ascending"), ("part", "ascending")])
+        table = table.sort_by([(c, "ascending") for c in PART_ORDER])
         key, part, ids, n, side = (table[c].to_numpy() for c in ("key", "part", "id", "n", "side"))
         found = w.unpack(table["registers"], np.uint16)[0].reshape(-1, REGISTERS)
         ends = [_empty()]
@@ -170,7 +172,7 @@ def common(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _set_links(percent: int):
     def links(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("key", "ascending"), ("part", "ascending")])
+        table = table.sort_by([(c, "ascending") for c in PART_ORDER])
         key, part, ids, side = (table[c].to_numpy() for c in ("key", "part", "id", "side"))
         values, sizes = w.unpack(table["elements"], np.uint64)
         heads = np.concatenate([[0], np.cumsum(sizes)])
@@ -212,7 +214,7 @@ def _in_groups(rows: DataFrame, payload: DataFrame, links, limit: int, pack: int
 
     ``rows`` has ``key, id``; ``payload`` has what is compared, by ``id``. Keys of up to ``limit`` rows
     are one part. In larger ones all rows meet the smallest id in chunks; rows that are not linked with
-    anything there are dealt into chunks that meet chunks of all rows of the key.
+    it there are dealt into chunks that meet chunks of all rows of the key.
     """
     counts = rows.groupBy("key").agg(F.count("*").alias("_c"), F.min("id").alias("_hub"))
     sized = written(rows.join(counts, "key"), "sized")
@@ -225,8 +227,9 @@ def _in_groups(rows: DataFrame, payload: DataFrame, links, limit: int, pack: int
     hubs = busy.where("id = _hub").select("key", "id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("part"), F.lit(True).alias("side"))
     others = busy.where("id != _hub").select("key", "id", chunk.alias("part"), F.lit(False).alias("side"))
     star = written(_packed(hubs.unionByName(others), payload, links, pack), "star")
-    met = star.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rest = written(busy.where("id != _hub").join(met, "id", "left_anti").select("key", "id"), "rest")
+    # A row linked with the smallest id of one group may be linked with other rows of another one.
+    met = star.select(F.col("a").alias("id"), F.col("b").alias("_hub")).distinct()
+    rest = written(busy.where("id != _hub").join(met, ["id", "_hub"], "left_anti").select("key", "id"), "rest")
     left = rest.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("_m"))
     own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("_m")).cast("int")
     # A part is a chunk of what is left, and a chunk of all.

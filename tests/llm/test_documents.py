@@ -112,6 +112,25 @@ def test_repeats_of_odd_rows(spark):
     assert by_id[6].key == 7
 
 
+def test_rows_of_large_groups_meet_in_each_of_their_groups(spark):
+    """Ids 10 and 11 are linked with the smallest id of one of their groups each, and with each other."""
+    true = {(0, 10), (1, 11), (10, 11), (30, 31)}
+
+    def links(table):
+        table = table.sort_by([(c, "ascending") for c in near_dedup.PART_ORDER])
+        key, part, ids, side = (table[c].to_numpy(zero_copy_only=False) for c in ("key", "part", "id", "side"))
+        ends = [near_dedup._empty()]
+        for a, b in near_dedup.runs(key, part):
+            near = [[(min(x, y), max(x, y)) in true for y in ids[a:b]] for x in ids[a:b]]
+            ends.append(near_dedup._forest(ids[a:b], near & (side[a:b, None] | side[None, a:b])))
+        return near_dedup._pairs(ends)
+
+    members = [(1, i) for i in (0, 10, 11, *range(30, 36))] + [(2, i) for i in (1, 10, 11, *range(40, 46))]
+    rows = spark.createDataFrame(members, "key bigint, id bigint")
+    found = near_dedup._in_groups(rows, rows.select("id").distinct(), links, 4, 1000)
+    assert {(min(r), max(r)) for r in found.collect()} == true
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_near_duplicates_equal_plain_version(spark, seed):
     rows = random_documents(seed, 300)
