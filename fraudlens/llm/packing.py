@@ -1,6 +1,6 @@
 """Best-fit packing of documents into bins of a fixed number of words, under conflicts.
 
-Documents of one source, or of one cluster of duplicates, never share a bin. Bins are ordered by what
+Documents of one source, or of one cluster of duplicates (equal or nearly equal texts), never share a bin. Bins are ordered by what
 is left in them and carry a bitmap of their sources and clusters; from the tightest bin with enough
 room, the search goes on to the next until one has no conflict. Pieces are packed largest first.
 
@@ -17,6 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fraudlens.llm import near_dedup
+from fraudlens.llm.storage import written
+
 CAPACITY, SHARD = 2048, 4096
 # Words, as everywhere in this package.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,21 +71,42 @@ def _pack(capacity: int):
     return pack
 
 
-def packed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str | None = "source", cluster=None, capacity: int = CAPACITY) -> DataFrame:
+def _key(id_column: str, text):
+    """The id as near duplicates name it; documents without one go by their text."""
+    return F.coalesce(F.col(id_column).cast("bigint"), F.xxhash64(text))
+
+
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = near_dedup.PERCENT) -> DataFrame:
+    """``key, cluster`` of the documents that are linked with one of a smaller id; the others are
+    named by their own id."""
+    text = F.col(text_column).cast("string")
+    found = near_dedup.near_duplicates(docs.select(_key(id_column, text).alias("key"), text.alias("text")), "key", "text", percent=percent)
+    return written(found.where("not kept").select("key", F.col("component_id").alias("cluster")).distinct(), "near-copies")
+
+
+def packed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str | None = "source", cluster: str | DataFrame | None = None, capacity: int = CAPACITY) -> DataFrame:
     """A row for each piece of each document: its id, ``piece`` (from 0), ``n_words``, ``bin_id`` and
     ``bin_start``, the place of its first word in the bin. Piece ``i`` begins at word ``i * capacity``.
 
-    ``cluster`` is a column that names a document's duplicates; by default, documents of equal text
-    are duplicates. Null sources and clusters conflict with nothing. Documents that are null or have
+    ``cluster`` is a column that names a document's duplicates, or the table of :func:`near_copies`;
+    by default, documents of equal text are duplicates. Null sources and clusters conflict with nothing. Documents that are null or have
     no words are one piece of no words without a bin. Rows of one id are packed each.
     """
     text = F.col(text_column).cast("string")
     source = F.col(source_column).cast("string") if source_column else F.lit(None).cast("string")
-    same = F.xxhash64(text) if cluster is None else F.xxhash64(cluster)
-    sized = docs.select(
-        F.col(id_column).alias("doc"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).alias("_n"), source.alias("source"),
-        F.when(text.isNotNull() if cluster is None else F.col(cluster).isNotNull(), same).alias("cluster"),
-    )
+    near = cluster if isinstance(cluster, DataFrame) else None
+    if near is not None:
+        same = _key(id_column, text)
+    elif cluster is None:
+        same = F.when(text.isNotNull(), F.xxhash64(text))
+    else:
+        same = F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))
+    sized = docs.select(F.col(id_column).alias("doc"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).alias("_n"), source.alias("source"), same.alias("_same"))
+    if near is None:
+        sized = sized.withColumnRenamed("_same", "cluster")
+    else:
+        # Joined after the words are counted, so that no text is shuffled.
+        sized = sized.join(near, sized["_same"] == near["key"], "left").select("doc", "_n", "source", F.coalesce("cluster", "_same").alias("cluster"))
     pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / capacity).cast("int") - 1, F.lit(0)))))
     pieces = pieces.select("doc", "piece", F.least(F.col("_n") - F.col("piece") * capacity, F.lit(capacity)).cast("int").alias("n_words"), "source", "cluster")
     empty = pieces.where("n_words = 0").select("doc", "piece", "n_words", F.lit(None).cast("bigint").alias("bin_id"), F.lit(None).cast("int").alias("bin_start"))

@@ -270,6 +270,23 @@ def test_packing_keeps_all_and_conflicts_apart(spark):
     assert max(Counter(r.bin_id for r in found if r.bin_id is not None and r.doc_id != 4).values()) == 1
 
 
+def test_near_copies_never_share_a_bin(spark, tmp_path):
+    rng = random.Random(9)
+    rows = []
+    for i in range(30):
+        words = [f"t{i}x{j}" for j in range(60)]
+        changed = [*words]
+        changed[rng.randrange(60)] = "other"
+        for j, text in enumerate([" ".join(words), " ".join(changed), " ".join(words).upper(), "  ".join(words)]):
+            rows.append((None if i == 0 and j == 1 else 10 * i + j, text, "en", f"s{i}-{j}", 1))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op6_packing"](spark, str(tmp_path)).collect()
+    groups = Counter((r.bin_id, (r.doc_id or 0) // 10) for r in found)
+    assert len(found) == len(rows) and len(groups) == len(rows)
+    # Of one component each: a bin of 2,048 words has room for all 30.
+    assert len({r.bin_id for r in found}) == 4
+
+
 @pytest.mark.parametrize("name", ["op2_quality", "op3_substring_dedup", "op4_near_dedup", "op5_pii", "op6_packing", "op7_language", "op9_pieces"])
 def test_empty_tables(spark, tmp_path, name):
     for table in ("documents", "labels"):
