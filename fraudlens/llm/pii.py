@@ -31,6 +31,19 @@ CONTEXT = {
     "iban": ("iban", "account", "konto", "bank"),
     "ssn": ("ssn", "social", "security"),
 }
+# Characters of an IBAN, by country.
+_IBAN_CHARS = {
+    country: int(n)
+    for n, countries in (
+        x.split(":")
+        for x in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+            "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+            "28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
 _CONTEXT = {k: re.compile(r"(?<![a-z])(?:" + "|".join(v) + ")") for k, v in CONTEXT.items()}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -92,10 +105,31 @@ def _phones(text: str):
             yield m.span()
 
 
+def _iban_end(found: str) -> int | None:
+    """Where the IBAN ends that ``found`` begins with: its words may be followed by others.
+
+    The country's length goes before the whole of ``found``; of an unknown country, the longest
+    run of words that passes the check is taken.
+    """
+    ends = [i for i, c in enumerate(found) if c == " "] + [len(found)]
+    sizes = {end - n: end for n, end in enumerate(ends) if end - n >= 15}
+    length = _IBAN_CHARS.get(found[:2])
+    if length is None:
+        order = sorted(sizes.values(), reverse=True)
+    else:
+        order = [sizes[length]] if length in sizes else []
+        order.append(len(found))
+    return next((end for end in order if mod97(found[:end].replace(" ", ""))), None)
+
+
 def _ibans(text: str):
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield m.span()
+    found = _IBAN.search(text)
+    while found:
+        end = _iban_end(found[0])
+        if end:
+            yield found.start(), found.start() + end
+        # What follows, or what a failed one took along, may hold another.
+        found = _IBAN.search(text, found.start() + (end or 1))
 
 
 def _ssns(text: str):

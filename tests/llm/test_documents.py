@@ -195,6 +195,17 @@ def test_added_kinds_and_redaction():
     assert pii.redacted("mail a@b.cc now", pii.find("mail a@b.cc now")) == "mail [EMAIL] now"
 
 
+def test_ibans_before_words_in_upper_case():
+    de, no, be = "DE89370400440532013000", "NO9386011117947", "BE68 5390 0754 7034"
+    other = next(x for n in range(100) if pii.mod97(x := f"ZZ{n:02}ABCD0123456789"))
+    for text, expected in [
+        ("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]), (f"{de} EUR 500", [de]), (f"{de} A", [de]),
+        (f"{no} {be}", [no, be]), (f"REF AB12 {de}", [de]), (f"{other} EUR 500", [other]), (f"{de}A1", []), (f"x{de}", []), (f"{de} x", [de]),
+    ]:
+        assert [text[a:b] for a, b in pii._ibans(text)] == expected, text
+    assert pii.redacted(f"to {de} EUR 500", pii.find(f"to {de} EUR 500")) == "to [IBAN] EUR 500"
+
+
 def test_personal_data_of_odd_rows(spark):
     found = pii.with_personal_data(odd(spark), redact=True).collect()
     assert len(found) == len(ODD)
