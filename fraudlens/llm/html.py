@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 from typing import NamedTuple
 
@@ -57,22 +58,38 @@ class Model(NamedTuple):
 
 
 class Part(NamedTuple):
-    """A tag (no text), or a text with the names it stands in; ``block`` parts separate blocks."""
+    """A tag (no text), or a text with the names it stands in; ``block`` parts separate blocks.
+
+    ``around`` are the names around the outermost outside element that it belongs to, but for those
+    of the whole page; None if it belongs to no such element."""
 
     text: str | None
     names: tuple[str, ...]
     block: bool
+    around: tuple[str, ...] | None = None
+
+
+class Open(NamedTuple):
+    """An open element, with the names of all elements down to it, and of those inside the page's body."""
+
+    name: str
+    names: tuple[str, ...]
+    inner: tuple[str, ...]
+    around: tuple[str, ...] | None
+
+
+TOP = Open("", (), (), None)
 
 
 def parts(html: str) -> list[Part]:
     out: list[Part] = []
-    # Open elements, with the names of all elements down to each.
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Open] = []
     at, n = 0, len(html)
 
     def text(until: int) -> None:
         if until > at:
-            out.append(Part(unescape(html[at:until]), stack[-1][1] if stack else (), False))
+            above = stack[-1] if stack else TOP
+            out.append(Part(unescape(html[at:until]), above.names, False, above.around))
 
     while at < n:
         found = _MARKUP.search(html, at)
@@ -85,11 +102,11 @@ def parts(html: str) -> list[Part]:
         if not name:
             continue
         if found[1]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), -1)
-            names = stack[depth][1] if depth >= 0 else (name,)
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name == name), -1)
+            names, around = (stack[depth].names, stack[depth].around) if depth >= 0 else ((name,), stack[-1].around if stack else None)
             if depth >= 0:
                 del stack[depth:]
-            out.append(Part(None, names[-1:], name not in INLINE and name != "br"))
+            out.append(Part(None, names[-1:], name not in INLINE and name != "br", around))
             continue
         if name in RAW:
             # Its content is no markup, or no text of the page.
@@ -98,7 +115,7 @@ def parts(html: str) -> list[Part]:
                 at = end.end() if end else n
             elif end:
                 at = end.end()
-            out.append(Part(None, (name,), name not in INLINE))
+            out.append(Part(None, (name,), name not in INLINE, stack[-1].around if stack else None))
             continue
         attributes = found[3]
         own = [name]
@@ -109,23 +126,29 @@ def parts(html: str) -> list[Part]:
             if _HIDDEN.search(attributes):
                 own.append("hidden")
         if name == "br":
-            out.append(Part(" ", stack[-1][1] if stack else (), False))
+            above = stack[-1] if stack else TOP
+            out.append(Part(" ", above.names, False, above.around))
             continue
         block = name not in INLINE
-        out.append(Part(None, tuple(own), block))
-        if name in VOID or attributes.endswith("/>"):
-            continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and stack and stack[-1][0] == "p"):
+        if name not in VOID and not attributes.endswith("/>") and (name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and stack and stack[-1].name == "p")):
             closes = ("p",) if name not in ("li", "dt", "dd", "tr", "td", "th") else (name,)
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] in closes or stack[d][0] in ("ul", "ol", "dl", "table", "article", "section", "div")), -1)
-            if depth >= 0 and stack[depth][0] in closes:
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name in closes or stack[d].name in ("ul", "ol", "dl", "table", "article", "section", "div")), -1)
+            if depth >= 0 and stack[depth].name in closes:
                 del stack[depth:]
-        above = stack[-1][1] if stack else ()
+        above = stack[-1] if stack else TOP
+        around = above.around
+        if around is None and any(_outside(x) for x in own):
+            around = above.inner
+        out.append(Part(None, tuple(own), block, around))
+        if name in VOID or attributes.endswith("/>"):
+            continue
         if len(stack) < 512:
-            stack.append((name, tuple(dict.fromkeys((*above, *own)))))
+            inner = () if name in ("html", "body") else tuple(dict.fromkeys((*above.inner, *own)))
+            stack.append(Open(name, tuple(dict.fromkeys((*above.names, *own))), inner, around))
     return out
 
 
+@lru_cache(100_000)
 def _outside(name: str) -> bool:
     words = re.split(r"[-_]", name)
     return name in OUTSIDE or (BESIDE.isdisjoint(words) and not OUTSIDE.isdisjoint(words))
@@ -190,22 +213,41 @@ def _score(model: Model, names: tuple[str, ...], known: dict) -> float:
     return score
 
 
+def _inserted(model: Model, found: list[Part], known: dict):
+    """Whether a part belongs to an insertion into content: into the article of a page that has one
+    (or a main element), else into what by its names is content."""
+    marked = any(p.text is None and p.around is None and p.names and p.names[0] in ("article", "main") for p in found)
+
+    def inserted(part: Part) -> bool:
+        if part.around is None:
+            return False
+        if marked:
+            return "article" in part.around or "main" in part.around
+        return not INSIDE.isdisjoint(part.around) or (bool(part.around) and _score(model, part.around, known) > 0)
+
+    return inserted
+
+
 def extract(html: str | None, model: Model, known: dict | None = None) -> str:
     """The blocks of the best run, joined by two line ends; empty if no word has a positive score."""
     if not html:
         return ""
     known = {} if known is None else known
     found = parts(html)
+    inserted = _inserted(model, found, known)
     scores = []
     for p in found:
-        if p.text is None:
+        if inserted(p):
+            # An insertion, however long, does not split the content around it.
+            scores.append(0.0)
+        elif p.text is None:
             # A tag costs more, the less its words are content.
             odds = model.odds.get(p.names[-1], 0.0) if p.names else 0.0
             scores.append(-0.02 - 0.2 / (1 + math.exp(max(-20.0, min(20.0, odds)))))
         else:
             words = len(p.text.split())
             score = _score(model, p.names, known)
-            # A long insertion does not split the content around it.
+            # Nor does a long text that is no content.
             scores.append(words * score if score > 0 else max(-3.0, words * score))
     best, total, begin, span = 0.0, 0.0, 0, (0, 0)
     for i, score in enumerate(scores):

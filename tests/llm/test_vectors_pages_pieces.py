@@ -125,6 +125,15 @@ def test_classes_of_the_whole_page_hide_nothing():
     assert html.extract("<main hidden><p>One two</p></main>", MODEL) == ""
 
 
+def test_long_insertions_split_nothing():
+    links = "<ul>" + "<li><a href=x>four words of link</a></li>" * 30 + "</ul>"
+    for begin, end in (("<aside>", "</aside>"), ("<div class=related>", "</div>"), ("<div><nav>", "</nav></div>")):
+        inner = f"<h1>Head line</h1><p>Short lead.</p>{begin}{links}{end}<p>Short end.</p>"
+        for page in (f"<article>{inner}</article>", f"<main><div>{inner}</div></main>", f"<div class=content>{inner}</div>"):
+            page = f"<body class=content><header>Site</header><p>Welcome here</p><nav>{links}</nav>{page}<div class=comments>{links}</div><p>Legal notes</p>"
+            assert html.extract(page, MODEL) == "Head line\n\nShort lead.\n\nShort end."
+
+
 def test_pages_with_labels_give_their_articles(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     found = queries.QUERIES["op1_html"](spark, DATA).collect()
