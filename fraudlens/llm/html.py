@@ -25,11 +25,18 @@ SAMPLE, MOST_FEATURES, LEAST_WORDS = 4096, 20_000, 20
 ADDED = ("text", "n_chars")
 
 # HTML's element names, and names that sites commonly give to parts of pages.
-RAW = frozenset("script style title textarea noscript template iframe svg math object select button head".split())
+RAW = frozenset("script style title textarea iframe".split())
+# Elements whose content is no text of the page, and those in which /> ends any element.
+UNREAD = frozenset("noscript template svg object select button annotation annotation-xml".split())
+FOREIGN = frozenset("svg math".split())
+# Elements out of which no start tag closes another.
+BOUNDS = UNREAD | frozenset("ul ol dl table article section div".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output progress q "
-    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+    "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 OUTSIDE = frozenset(
     "nav aside footer form menu menubar navigation navbar sidebar ad ads advert adverts advertisement adsense sponsor "
@@ -43,6 +50,8 @@ FRAMES = frozenset("html body main article".split())
 BESIDE = frozenset("no has with without".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 PRIOR = 2000
+# Names that a text has at most, but for one that says that it is outside.
+MOST_NAMES = 512
 
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _MARKUP = re.compile(rf"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES}|[^>]*>)|<[!?][^>]*>", re.S)
@@ -76,20 +85,40 @@ class Open(NamedTuple):
     names: tuple[str, ...]
     inner: tuple[str, ...]
     around: tuple[str, ...] | None
+    unread: bool
+    foreign: bool
 
 
-TOP = Open("", (), (), None)
+TOP = Open("", (), (), None, False, False)
+
+
+def _joined(above: tuple[str, ...], own: list[str]) -> tuple[str, ...]:
+    if len(above) < MOST_NAMES:
+        return tuple(dict.fromkeys((*above, *own)))
+    bad = next((x for x in own if _outside(x)), None)
+    return above if bad is None or any(_outside(x) for x in above[MOST_NAMES - 1 :]) else (*above, bad)
 
 
 def parts(html: str) -> list[Part]:
     out: list[Part] = []
     stack: list[Open] = []
+    # Depths of the open elements of each name.
+    depths: dict[str, list[int]] = {}
     at, n = 0, len(html)
 
+    def top() -> Open:
+        return stack[-1] if stack else TOP
+
+    def deepest(names) -> int:
+        return max((depths[x][-1] for x in names if depths.get(x)), default=-1)
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            depths[stack.pop().name].pop()
+
     def text(until: int) -> None:
-        if until > at:
-            above = stack[-1] if stack else TOP
-            out.append(Part(unescape(html[at:until]), above.names, False, above.around))
+        if until > at and not top().unread:
+            out.append(Part(unescape(html[at:until]), top().names, False, top().around))
 
     while at < n:
         found = _MARKUP.search(html, at)
@@ -102,22 +131,23 @@ def parts(html: str) -> list[Part]:
         if not name:
             continue
         if found[1]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name == name), -1)
-            names, around = (stack[depth].names, stack[depth].around) if depth >= 0 else ((name,), stack[-1].around if stack else None)
+            depth = deepest((name,))
+            ended = stack[depth] if depth >= 0 else top()._replace(names=(name,))
             if depth >= 0:
-                del stack[depth:]
-            out.append(Part(None, names[-1:], name not in INLINE and name != "br", around))
+                close(depth)
+            if not ended.unread:
+                out.append(Part(None, ended.names[-1:], name not in INLINE and name != "br", ended.around))
             continue
+        attributes = found[3]
+        alone = attributes.endswith("/>")
         if name in RAW:
             # Its content is no markup, or no text of the page.
-            end = _ENDS[name].search(html, at)
-            if name != "head":
+            if not (alone and top().foreign):
+                end = _ENDS[name].search(html, at)
                 at = end.end() if end else n
-            elif end:
-                at = end.end()
-            out.append(Part(None, (name,), name not in INLINE, stack[-1].around if stack else None))
+            if not top().unread:
+                out.append(Part(None, (name,), name not in INLINE, top().around))
             continue
-        attributes = found[3]
         own = [name]
         if len(attributes) > 2:
             for m in _NAMES.finditer(attributes):
@@ -126,25 +156,26 @@ def parts(html: str) -> list[Part]:
             if _HIDDEN.search(attributes):
                 own.append("hidden")
         if name == "br":
-            above = stack[-1] if stack else TOP
-            out.append(Part(" ", above.names, False, above.around))
+            if not top().unread:
+                out.append(Part(" ", top().names, False, top().around))
             continue
         block = name not in INLINE
-        if name not in VOID and not attributes.endswith("/>") and (name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and stack and stack[-1].name == "p")):
+        pushed = name not in VOID and name != "head" and not alone
+        if pushed and (name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and top().name == "p")):
             closes = ("p",) if name not in ("li", "dt", "dd", "tr", "td", "th") else (name,)
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name in closes or stack[d].name in ("ul", "ol", "dl", "table", "article", "section", "div")), -1)
-            if depth >= 0 and stack[depth].name in closes:
-                del stack[depth:]
-        above = stack[-1] if stack else TOP
+            depth = deepest(closes)
+            if depth >= 0 and depth > deepest(BOUNDS.difference(closes)):
+                close(depth)
+        above = top()
         around = above.around
         if around is None and any(_outside(x) for x in own):
             around = above.inner
-        out.append(Part(None, tuple(own), block, around))
-        if name in VOID or attributes.endswith("/>"):
-            continue
-        if len(stack) < 512:
-            inner = () if name in ("html", "body") else tuple(dict.fromkeys((*above.inner, *own)))
-            stack.append(Open(name, tuple(dict.fromkeys((*above.names, *own))), inner, around))
+        if not above.unread:
+            out.append(Part(None, tuple(own), block, around))
+        if pushed:
+            depths.setdefault(name, []).append(len(stack))
+            inner = () if name in ("html", "body") else _joined(above.inner, own)
+            stack.append(Open(name, _joined(above.names, own), inner, around, above.unread or name in UNREAD, above.foreign or name in FOREIGN))
     return out
 
 
@@ -285,7 +316,8 @@ def with_main_text(pages: DataFrame, model: Model, html_column: str = "html", ke
     ``n_chars``, its code points; columns of these names are replaced.
 
     Null and empty pages, and pages without content, have an empty text. Broken markup is read as far
-    as it goes: a tag without an end is text, an element without one lasts to the end of its parent.
+    as it goes: a tag without an end is text, an element without one lasts to the end of its parent,
+    and a script, style, title, textarea or iframe without one to the end of the page.
     """
     kept = free(pages, *ADDED).withColumn(html_column, F.col(html_column).cast("string"))
     left_out = () if keep_html else (html_column,)

@@ -134,6 +134,28 @@ def test_long_insertions_split_nothing():
             assert html.extract(page, MODEL) == "Head line\n\nShort lead.\n\nShort end."
 
 
+def test_elements_without_an_end_take_no_other_text():
+    for odd in (
+        "<svg class=i/>", "<svg><title/><path d=x /><g></svg>", "<div><button>b</div>", "<div><object><p>c</div>", "<div><select><option>a<option>b</div>",
+        "<noscript><div>n</noscript>", "<template><p>t</p></template>", "<div><svg><path></div><svg></svg>", "<button><b>b</button>",
+    ):
+        assert html.extract(f"<article><p>one</p>{odd}<p>two</p></article>", MODEL) == "one\n\ntwo", odd
+    assert html.extract("<article><p>one <select><option>a<option>b</select> two<object><p>c</p></object></article>", MODEL).replace("\n\n", " ") == "one two"
+    formula = "<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></semantics></math>"
+    assert html.extract(f"<head><title>t</title><p>one<article><p>let {formula} be</article>", MODEL).endswith("let x=1 be")
+    assert html.extract("<p>one<script>two", MODEL) == "one"
+
+
+def test_end_tags_of_deep_elements_end_no_other():
+    deep = 600
+    page = "<article><nav>" + "<div>" * deep + "menu" + "</div>" * deep + "more</nav><p>one</p></article>"
+    assert html.extract(page, MODEL) == "one"
+    page = "<div class=ad>" + "<font>" * deep + "<div>inner</div>still advert</div><p>one</p>"
+    assert html.extract(page, MODEL) == "one"
+    found = {p.text: p.names for p in html.parts("<article>" + "<div>" * deep + "<nav>menu</nav><p>two</p></article>") if p.text}
+    assert found == {"menu": ("article", "div", "nav"), "two": ("article", "div", "p")}
+
+
 def test_pages_with_labels_give_their_articles(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     found = queries.QUERIES["op1_html"](spark, DATA).collect()
