@@ -3,8 +3,8 @@
 Characters are lower-cased, and all but letters count as spaces. Runs of one to three characters are
 hashed to ``FEATURES`` columns. Document frequencies are counted over all labelled rows given for
 learning; the weights are fitted by follow the regularised leader, with elastic-net penalties, on
-about ``SAMPLE`` of these rows, chosen by a hash of their text; a temperature, fitted on the fifth of
-the sample that the weights have not seen, makes the scores probabilities.
+at most ``SAMPLE`` pairs of a text and a label, each once, those of the smallest hashes; a temperature,
+fitted on the fifth of the sample that the weights have not seen, makes the scores probabilities.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm import words as w
 from fraudlens.llm.ftrl import Leader
-from fraudlens.llm.storage import free, schema_with
+from fraudlens.llm.storage import free, schema_with, written
 
 ORDERS, FEATURES = 3, 1 << 14
 SAMPLE, EPOCHS = 4096, 3
@@ -77,33 +77,57 @@ def _tfidf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def _frequencies(batches):
-    total, rows = np.zeros(FEATURES, np.int64), 0
-    for batch in batches:
-        for row, end, counts, _ in _counts(batch.column("text")):
-            total += (counts > 0).sum(0)
-            rows += end - row
-    some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(total[some], rows))], names=["feature", "n"]
-    )
+def _frequencies(sample: int):
+    """Of each task: rows by feature (-1: all rows), and the smallest hashes of rows with letters."""
+
+    def frequencies(batches):
+        total, rows, least = np.zeros(FEATURES, np.int64), 0, np.zeros(0, np.int64)
+        for batch in batches:
+            hashes = batch.column("hash").to_numpy(zero_copy_only=False)
+            for row, end, counts, letters in _counts(batch.column("text")):
+                total += (counts > 0).sum(0)
+                rows += end - row
+                least = np.union1d(least, hashes[row:end][letters > 0])[:sample]
+        some = np.flatnonzero(total)
+        feature, n = np.append(some, -1).astype(np.int32), np.append(total[some], rows)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([feature, np.zeros(len(least), np.int32)])), pa.array(np.concatenate([n, np.zeros(len(least), np.int64)])),
+                pa.concat_arrays([pa.nulls(len(n), pa.int64()), pa.array(least)]),
+            ],
+            names=["feature", "n", "hash"],
+        )
+
+    return frequencies
 
 
 def _features(idf: np.ndarray):
+    """Each hash once a task."""
+
     def features(batches):
+        seen: set[int] = set()
         for batch in batches:
-            labels = batch.column("label")
+            fresh = []
+            for i, h in enumerate(batch.column("hash").to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    fresh.append(i)
+            if not fresh:
+                continue
+            batch = batch.take(pa.array(fresh))
+            hashes, labels = batch.column("hash"), batch.column("label")
             for row, end, counts, letters in _counts(batch.column("text")):
                 rows = np.flatnonzero(letters > 0)
                 matrix = _tfidf(counts[rows], idf)
                 at = [np.flatnonzero(x).astype(np.int32) for x in matrix]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        hashes.slice(row, end - row).take(pa.array(rows)),
                         labels.slice(row, end - row).take(pa.array(rows)).cast(pa.string()),
                         pa.array([a.tobytes() for a in at], pa.binary()),
                         pa.array([x[a].tobytes() for a, x in zip(at, matrix, strict=True)], pa.binary()),
                     ],
-                    names=["label", "at", "x"],
+                    names=["hash", "label", "at", "x"],
                 )
 
     return features
@@ -117,10 +141,13 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 def fit(rows: DataFrame, text_column: str = "text", label_column: str = "lang", sample: int = SAMPLE) -> Model | None:
     """A model of the rows with a text and a label; none if there are none with letters.
 
-    Only ``sample`` rows (about; by a hash of the text) reach the driver, as sparse features.
+    At most ``sample`` texts with letters reach the driver, as sparse features: those of the smallest
+    hashes of text and label, however many rows hold them.
     """
     learn = rows.select(F.col(text_column).cast("string").alias("text"), F.col(label_column).cast("string").alias("label")).where("text is not null and label is not null")
-    found = learn.select("text").mapInArrow(_frequencies, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    learn = learn.withColumn("hash", F.xxhash64("text", "label"))
+    counted = written(learn.select("text", "hash").mapInArrow(_frequencies(sample), "feature int, n bigint, hash bigint"), "language")
+    found = counted.where("hash is null").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     frequency = {r.feature: r.n for r in found}
     total = frequency.pop(-1, 0)
     if not total:
@@ -128,9 +155,9 @@ def fit(rows: DataFrame, text_column: str = "text", label_column: str = "lang",
     counts = np.zeros(FEATURES)
     counts[list(frequency)] = list(frequency.values())
     idf = np.where(counts > 0, np.log((1 + total) / (1 + counts)) + 1, 0).astype(np.float32)
-    share = int(min(1.0, sample / total) * 1_000_000)
-    chosen = learn.where(F.pmod(F.xxhash64("text", "label"), F.lit(1_000_000)) < max(share, 1))
-    examples = chosen.mapInArrow(_features(idf), "label string, at binary, x binary").collect()
+    least = counted.where("hash is not null").select("hash").distinct().orderBy("hash").limit(sample)
+    chosen = learn.join(F.broadcast(least), "hash", "left_semi").select("text", "label", "hash")
+    examples = chosen.mapInArrow(_features(idf), "hash bigint, label string, at binary, x binary").dropDuplicates(["hash"]).collect()
     if not examples:
         return None
     # In an order that does not depend on tasks.

@@ -228,6 +228,30 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in language.with_language(odd(spark), None).collect()} == {"und"}
 
 
+def test_language_learns_from_each_text_once(spark, monkeypatch):
+    shown = []
+    monkeypatch.setattr(language, "Leader", lambda *a: (shown.append([]), Shown(shown[-1], *a))[1])
+    texts = [(f"only text {'xyz'[i % 3]} {i}", "ab"[i % 2]) for i in range(100)]
+    rows = [("a text that most rows share", "a")] * 2000 + [("1 2 3", "a")] * 50 + texts
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for sample in (5, 40, 1000):
+        language.fit(docs, sample=sample)
+        n = min(sample, 101)
+        assert len(shown[-1]) == language.EPOCHS * (n - n // 5)
+    few = spark.createDataFrame([("ab cd", "a")] * 20_000 + [("12", "b")] * 20_000, "text string, lang string")
+    assert language.fit(few, sample=1).labels == ["a"]
+
+
+class Shown(language.Leader):
+    def __init__(self, shown, *rest):
+        super().__init__(*rest)
+        self.shown = shown
+
+    def learn(self, at, *rest):
+        self.shown.append(at)
+        super().learn(at, *rest)
+
+
 def test_quality_orders_grades(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
