@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fraudlens.llm import language, near_dedup, packing, pii, substring_dedup
 from fraudlens.llm.storage import ship, written
 
-# Below this probability, with four languages hardly above chance, a language counts as unknown.
-LEAST_SCORE = 0.3
+# Below this many times the probability of chance (1 by the number of languages), a language counts as unknown.
+LEAST_LIFT = 1.2
 
 
 # What the stages read; other columns are carried along under names that no operator uses.
@@ -35,9 +35,14 @@ def _stage(work: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, Da
 @_stage
 def known_language(docs: DataFrame) -> DataFrame:
     """Documents of a known language; a missing one is filled in. The rest goes: null texts, texts
-    without letters, and texts of which no language is likely."""
-    found = language.with_language(docs, language.fit(docs))
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    without letters, and texts of which no language is likely. Where no row has a language to learn
+    from, all documents pass as they are; where there is only one, all with letters do."""
+    model = language.fit(docs)
+    if model is None:
+        return docs
+    found = language.with_language(docs, model)
+    least = min(1.0, LEAST_LIFT / len(model.labels))
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred"))
 
 

@@ -233,6 +233,21 @@ def test_pipeline_on_odd_rows(spark):
     assert {r.doc_id for r in packed.collect()} == set(ids)
 
 
+def test_languages_are_judged_by_their_number(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two", None, "s", 7), (2, "123", None, "s", 3)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = corpus_pipeline.known_language(spark, docs, DATA)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.collect()))
+    language = corpus_pipeline.language
+
+    def kept(n: int, score: float) -> int:
+        model = language.Model([f"l{i}" for i in range(n)], np.ones(1), np.ones((1, n)), 1.0)
+        monkeypatch.setattr(language, "fit", lambda docs: model)
+        monkeypatch.setattr(language, "with_language", lambda docs, _: docs.withColumns({"lang_pred": F.lit("l0"), "score": F.lit(score)}))
+        return corpus_pipeline.known_language(spark, docs, DATA).count()
+
+    assert [kept(n, s) for n, s in ((1, 1.0), (2, 0.55), (2, 0.65), (3, 0.35), (3, 0.45), (4, 0.29), (4, 0.3), (10, 0.11), (10, 0.2))] == [2, 0, 2, 0, 2, 0, 2, 0, 2]
+
+
 def test_pipeline_of_empty_table(spark, tmp_path):
     spark.read.parquet(f"{DATA}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
