@@ -15,7 +15,7 @@ from fraudlens.llm.queries import QUERIES
 
 def test_registered_queries():
     assert set(QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
