@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fraudlens import schemas as s
 from fraudlens.functions.records import assemble, decode_lenient, decode_strict, with_event_time
 from fraudlens.functions.times import second_id, second_text
+from fraudlens.operators.joins import heavy_keys
 from fraudlens.operators.latest import latest_by_key
 from fraudlens.plans import monitor, rules
 from fraudlens.session import shared_folder, stream_session
 from fraudlens.sources import driver_tables as t
 from fraudlens.sources.messages import decoded
-from fraudlens.streaming import jobs, sinks
+from fraudlens.streaming import jobs, lanes, seam, sinks
+from fraudlens.streaming.tiered import LandedTable, TieredLog
 from fraudlens.streaming.upsert import UpsertLog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -503,3 +505,117 @@ def stream_landed_transactions(spark, sf_dir):
     folder = shared_folder(spark, "landed")
     jobs.start(sinks.land(tx, f"{folder}/rows", "timestamp"), f"{folder}/checkpoint", available_now=True).awaitTermination()
     return _wall_clock(sinks.landed(tx.sparkSession, f"{folder}/rows", "timestamp"), "timestamp")
+
+
+# --- streams that go on: partitions, seams, tables that are kept small ---
+
+
+def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.transactions(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def _a_day_later(rows: DataFrame, *columns: str) -> DataFrame:
+    """A row that moves the watermark past all windows, with nulls but for its time and ``columns``."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in ("timestamp", *columns)]
+    return rows.agg(F.expr("max(timestamp) + INTERVAL 1 DAY").alias("timestamp")).select(*empty, "timestamp")
+
+
+LANES = 7
+
+
+def _in_lanes(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The transactions in seven folders, each in the order of events, but cut into one to seven files, and read by one file
+    at a time: after the first, one folder is at its end and another at the seventh of its way."""
+    session = stream_session(spark)
+    folder, tx = shared_folder(session, "lanes"), _instants(session, sf_dir).withColumn("lane", F.expr(f"int(event_id % {LANES})"))
+    begin = F.lit(datetime(2024, 1, 1)).cast("timestamp")
+    file = F.floor((F.unix_micros("timestamp") - F.unix_micros(begin)) * (F.col("lane") + 1) / 3_600_000_000)
+    rows = _landed(session, tx.withColumn("file", F.least(F.greatest(file, F.lit(0)), F.col("lane"))), "ordered")
+    for number in range(LANES):
+        rows.where(F.col("file") == number).drop("file").repartition(LANES, "lane").write.mode("append").partitionBy("lane").parquet(folder)
+    every = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("lane")
+    _a_day_later(rows.drop("file"), "lane").select("*", every).write.mode("append").partitionBy("lane").parquet(folder)
+    schema = rows.drop("lane", "file").schema
+    return [session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/lane={i}") for i in range(LANES)]
+
+
+@query
+def stream_velocity_out_of_order(spark, sf_dir):
+    """Partitions that differ by up to an hour, at a delay of five seconds."""
+    return _run(spark, rules.velocity(lanes.timed(_in_lanes(spark, sf_dir))), "velocity")
+
+
+def _by_batch(spark: SparkSession, df: DataFrame, write: jobs.Write, name: str) -> None:
+    jobs.start(jobs.for_each_batch(df, write), shared_folder(spark, name), available_now=True).awaitTermination()
+
+
+@query
+def stream_device_strict(spark, sf_dir):
+    """Late rows dropped at once, and the values of a window spread over all state partitions."""
+    tx = _closed(spark, sf_dir)
+    jobs.strict_lateness(tx.sparkSession)
+    table = LandedTable(shared_folder(spark, "alerts"), "window_start")
+    values = rules.device_sharing_values(rules.with_watermark(tx))
+    _by_batch(spark, values, lambda batch, i: table.write(rules.device_sharing_of_values(batch), i), "strict")
+    return _wall_clock(table.read(tx.sparkSession), "window_start", "window_end")
+
+
+@query
+def stream_velocity_backfilled(spark, sf_dir):
+    """The first half of the transactions as a batch, the second as the stream that goes on from there."""
+    session, folder = stream_session(spark), shared_folder(spark, "backfill")
+    files, rows = f"{folder}/in", _instants(session, sf_dir)
+    middle = F.lit(datetime(2024, 1, 1, 0, 30)).cast("timestamp")
+    rows.where(F.col("timestamp") < middle).write.parquet(files)
+    between = seam.file_seam(session, files)
+    rows.where(F.col("timestamp") >= middle).unionByName(_a_day_later(rows)).write.mode("append").parquet(files)
+    table = LandedTable(f"{folder}/alerts", "window_start")
+    past, follow = (reader.schema(rows.schema).parquet(files) for reader in (session.read, session.readStream))
+    tx, beyond = seam.follow_on(
+        between.past(past), between.follow(follow), rules.velocity, table.write, folder, "timestamp", s.VELOCITY_SIZE, s.VELOCITY_SLIDE)
+    _by_batch(spark, beyond(rules.velocity(rules.with_watermark(tx))), table.write, "follow")
+    return _wall_clock(table.read(session), "window_start", "window_end")
+
+
+def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_slices(spark, sf_dir).where("event_id IS NOT NULL")
+
+
+@query
+def stream_tx_latest_tiered(spark, sf_dir):
+    """Four micro-batches, of which every two parts of about one size become one."""
+    tx = _by_second(_sliced(spark, sf_dir))
+    log = TieredLog(shared_folder(spark, "tiers"), ["transaction_id"], ["event_id"], fanout=2)
+    _by_batch(spark, tx, log.write, "tiered")
+    return _wall_clock(log.view(tx.sparkSession), "timestamp").select(*s.TRANSACTION_COLUMNS)
+
+
+@query
+def stream_blacklist_latest_tiered(spark, sf_dir):
+    """Two streams that write one log."""
+    folder = shared_folder(spark, "tiers")
+    for number, (rule, dictionary) in enumerate([
+        (rules.blacklisted_customers, t.blacklist_customers), (rules.blacklisted_devices, t.blacklist_devices),
+    ]):
+        tx = _sliced(spark, sf_dir)
+        log = TieredLog(folder, ["transaction_id"], ["event_id"], number, fanout=2)
+        _by_batch(spark, rule(tx, dictionary(tx.sparkSession, sf_dir), carry=("event_id",)), log.write, f"writer{number}")
+    return _wall_clock(log.view(tx.sparkSession), "timestamp").drop("event_id")
+
+
+@query
+def stream_landed_tiered(spark, sf_dir):
+    tx = _sliced(spark, sf_dir).select(*s.TRANSACTION_COLUMNS)
+    table = LandedTable(shared_folder(spark, "landed"), "timestamp", fanout=2)
+    _by_batch(spark, tx, table.write, "landing")
+    return _wall_clock(table.read(tx.sparkSession), "timestamp")
+
+
+@query
+def stream_blacklist_devices_heavy(spark, sf_dir):
+    """Two streams, of which only the heavy keys are spread."""
+    tx = _stream(spark, sf_dir)
+    devices = t.to_blacklist_devices(t.stream_of(tx.sparkSession, sf_dir, "part"))
+    partitions = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(t.transactions(spark, sf_dir), "device_id", partitions)
+    return _run(spark, rules.blacklisted_devices(tx, devices, heavy=heavy), "devices")

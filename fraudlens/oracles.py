@@ -189,3 +189,11 @@ SELECT rule, make_timestamp((epoch_us(raised) // 300000000) * 300000000) AS "tim
 }
 ORACLES["stream_blacklist_latest"] = ORACLES["blacklist_latest"]
 ORACLES["stream_big_amount_latest"] = ORACLES["big_amount_latest"]
+# The same questions, asked of streams in other ways.
+for _name, _same in {
+    "stream_velocity_out_of_order": "stream_velocity_alerts", "stream_device_strict": "stream_device_alerts",
+    "stream_velocity_backfilled": "stream_velocity_alerts", "stream_tx_latest_tiered": "stream_tx_latest",
+    "stream_blacklist_latest_tiered": "blacklist_latest", "stream_landed_tiered": "stream_landed_transactions",
+    "stream_blacklist_devices_heavy": "stream_blacklist_devices_joined",
+}.items():
+    ORACLES[_name] = ORACLES[_same]

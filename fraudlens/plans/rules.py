@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens import schemas as s
-from fraudlens.operators.distinct import hop_distinct_stream
+from fraudlens.operators.distinct import count_values, hop_distinct_stream, hop_values
 from fraudlens.operators.joins import BROADCAST_BYTES, dictionary_join, measured_bytes
 from fraudlens.operators.latest import latest_by_key
 from fraudlens.operators.windows import hop, hop_count, hop_distinct
@@ -46,9 +46,9 @@ def blacklisted_devices(tx: DataFrame, devices: DataFrame, **options) -> DataFra
 
 def blacklist_hits(
     tx: DataFrame, customers: DataFrame, devices: DataFrame, label: str = s.BLACKLIST_LABEL, carry: tuple[str, ...] = (),
-    broadcast_bytes: int = BROADCAST_BYTES, salts: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES, salts: int | None = None, heavy: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
-    """Both blacklist rules; ``_writer`` is 0 for hits by customer, 1 for hits by device.
+    """Both blacklist rules; ``_writer`` is 0 for hits by customer, 1 for hits by device. ``heavy`` has the heavy keys of either column.
 
     Dictionaries of a measured size are looked up in one pass over the transactions, with the
     entries of a key in one list. Larger ones are joined one by one.
@@ -57,7 +57,7 @@ def blacklist_hits(
     listed = {key: d.select(key, "description").dropna(subset=[key]) for key, d in dictionaries.items()}
     if any(d.isStreaming for d in listed.values()) or measured_bytes(listed["customer_id"].union(listed["device_id"])) > broadcast_bytes:
         parts = [
-            blacklisted(tx, d, key, label=label, carry=carry, broadcast_bytes=broadcast_bytes, salts=salts).withColumn("_writer", F.lit(writer))
+            blacklisted(tx, d, key, label=label, carry=carry, broadcast_bytes=broadcast_bytes, salts=salts, heavy=(heavy or {}).get(key)).withColumn("_writer", F.lit(writer))
             for writer, (key, d) in enumerate(listed.items())
         ]
         return parts[0].unionByName(parts[1]).select(*carry, "_writer", *s.BLACKLIST_COLUMNS)
@@ -139,6 +139,26 @@ def device_sharing(
     return counted.withColumn("alert_message", F.lit(message))
 
 
+def geolocation_values(tx: DataFrame) -> DataFrame:
+    """The places of a customer in each window, a row each: what :func:`geolocation_of_values` counts once the window is closed."""
+    return hop_values(tx, ["customer_id"], "location", "timestamp", s.GEO_SIZE, s.GEO_SLIDE)
+
+
+def geolocation_of_values(values: DataFrame, minimum: int = s.GEO_MIN_LOCATIONS, message: str = s.GEO_MESSAGE) -> DataFrame:
+    counted = count_values(values, ["customer_id"], "location", "distinct_locations")
+    return counted.where(F.col("distinct_locations") >= minimum).withColumn("alert_message", F.lit(message))
+
+
+def device_sharing_values(tx: DataFrame) -> DataFrame:
+    """The customers of a device in each window, a row each: what :func:`device_sharing_of_values` counts once the window is closed."""
+    return hop_values(tx, ["device_id"], "customer_id", "timestamp", s.DEVICE_SIZE, s.DEVICE_SLIDE)
+
+
+def device_sharing_of_values(values: DataFrame, minimum: int = s.DEVICE_MIN_CUSTOMERS, message: str = s.DEVICE_MESSAGE) -> DataFrame:
+    counted = count_values(values, ["device_id"], "customer_id", "distinct_customers")
+    return counted.where(F.col("distinct_customers") >= minimum).withColumn("alert_message", F.lit(message))
+
+
 def copy(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pass-through in the order of the target's columns."""
     return df.select(*columns)

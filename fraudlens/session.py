@@ -64,6 +64,12 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"event times have no zone and are read as UTC, but the session zone is {zone}")
 
 
+def require_least_watermark(spark: SparkSession) -> None:
+    policy = spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    if policy != "min":
+        raise ValueError(f"lanes need the least of their watermarks, but spark.sql.streaming.multipleWatermarkPolicy is {policy}")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster shares; below a temporary one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

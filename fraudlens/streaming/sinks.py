@@ -22,6 +22,11 @@ def to_kafka(df: DataFrame, relation: str, servers: str, topic: str | None = Non
     return messages(df, relation).writeStream.format("kafka").options(**kafka_write_options(servers, topic or relation))
 
 
+def batch_to_kafka(df: DataFrame, relation: str, servers: str, topic: str | None = None) -> None:
+    """Writes a micro-batch; one that is run again writes its messages again."""
+    messages(df, relation).write.format("kafka").options(**kafka_write_options(servers, topic or relation)).save()
+
+
 def with_date(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn("date", F.to_date(time))
 
