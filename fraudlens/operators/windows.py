@@ -9,12 +9,14 @@ Two forms give the same rows.
   5 or 6 times. Per chunk the panes are counters, or bits of a mask, that Spark combines before
   the shuffle: a key that holds a third of all rows still sends one row per chunk and task. The
   windows are formed from the panes after the shuffle, and only where the threshold is met.
-  Windows of more than ``MOST_PANES`` panes are summed from a row per pane instead.
+  For windows of more than ``MOST_PANES`` panes, what a pane adds is a change at the first window that
+  reaches it and another behind the last one; the changes are summed along the time of each key. So the
+  work does not grow with the number of panes per window, but with that of windows in the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fraudlens.functions.times import seconds
 
@@ -28,13 +30,31 @@ def _chunk_windows(panes: int, windows: int | None) -> int:
     return max(0, min(windows or 2 * panes, MOST_PANES - panes + 1))
 
 
-def _windows_of(panes: DataFrame, columns: list[str], size: str, slide: str) -> DataFrame:
-    """Rows of panes, which start at ``_pane``, once for each window around them. A sequence, since the
-    plan of ``hop`` grows with the number of windows."""
-    first = f"_pane - INTERVAL '{seconds(size) - seconds(slide)}' SECOND"
-    starts = F.explode(F.expr(f"sequence({first}, _pane, INTERVAL '{seconds(slide)}' SECOND)"))
-    end = F.expr(f"window_start + INTERVAL '{seconds(size)}' SECOND")
-    return panes.select(*columns, starts.alias("window_start")).withColumn("window_end", end)
+def _interval(slide: str, panes: int) -> str:
+    return f"INTERVAL '{seconds(slide) * panes}' SECOND"
+
+
+def _summed_changes(changes: DataFrame, keys: list[str], name: str, size: str, slide: str, minimum: int) -> DataFrame:
+    """From changes (``window_start``, ``_change``) that end at nothing, the windows in which their sum so far is at least ``minimum``.
+    A key has as many rows here as there are window starts at which something changes."""
+    steps = changes.groupBy(*keys, "window_start").agg(F.sum("_change").alias("_change")).where("_change <> 0")
+    along = Window.partitionBy(*keys).orderBy("window_start")
+    summed = steps.select(
+        *keys, "window_start", F.sum("_change").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(name),
+        F.lead("window_start").over(along).alias("_next"),
+    )
+    starts = F.explode(F.expr(f"sequence(window_start, _next - {_interval(slide, 1)}, {_interval(slide, 1)})")).alias("window_start")
+    windows = summed.where(F.col(name) >= minimum).select(*keys, starts, name)
+    return windows.select(*keys, "window_start", F.expr(f"window_start + INTERVAL '{seconds(size)}' SECOND AS window_end"), name)
+
+
+def _changes(panes: DataFrame, keys: list[str], amount: str, slide: str, count: int, begins: str = "true", ends: str = "true") -> DataFrame:
+    """What rows of panes change: ``amount`` from the first window of ``count`` panes that reaches ``_pane``, where ``begins``,
+    and its negative behind the last, where ``ends``."""
+    first = f"struct(_pane - {_interval(slide, count - 1)} AS at, bigint({amount}) AS by)"
+    behind = f"struct(_pane + {_interval(slide, 1)} AS at, -bigint({amount}) AS by)"
+    both = f"filter(array(CASE WHEN {begins} THEN {first} END, CASE WHEN {ends} THEN {behind} END), c -> c IS NOT NULL)"
+    return panes.selectExpr(*map(_quoted, keys), f"inline({both}) AS (window_start, _change)")
 
 
 def panes_per_window(size: str, slide: str) -> int:
@@ -100,8 +120,7 @@ def hop_count(
     windows = _chunk_windows(panes, windows)
     if not windows:
         rows = df.groupBy(*keys, F.window(time, slide).start.alias("_pane")).agg(F.count("*").alias("_n"))
-        summed = _windows_of(rows, [*keys, "_n"], size, slide).groupBy(*keys, "window_start", "window_end").agg(F.sum("_n").alias(name))
-        return summed.where(F.col(name) >= max(minimum, 1))
+        return _summed_changes(_changes(rows, keys, "_n", slide, panes), keys, name, size, slide, max(minimum, 1))
     chunked = _chunked(df, keys, time, slide, panes, windows)
     counters = chunked.groupBy(*keys, "_chunk").agg(*[
         F.expr(f"count(CASE WHEN _pane = {p} THEN 1 END) AS _p{p}") for p in range(windows + panes - 1)
@@ -121,9 +140,13 @@ def hop_distinct(
     known = df.where(F.col(value).isNotNull())
     if not windows:
         rows = known.select(*keys, value, F.window(time, slide).start.alias("_pane")).distinct()
-        each = _windows_of(rows, [*keys, value], size, slide).distinct()
-        counted = each.groupBy(*keys, "window_start", "window_end").agg(F.count("*").alias(name))
-        return counted.where(F.col(name) >= minimum)
+        # The panes of a value that are less than a window apart are one stretch, in which it counts once.
+        along = Window.partitionBy(*keys, value).orderBy("_pane")
+        near = rows.withColumns({"_before": F.lag("_pane").over(along), "_after": F.lead("_pane").over(along)})
+        far = _interval(slide, panes)
+        changes = _changes(
+            near, keys, "1", slide, panes, f"_before IS NULL OR _before + {far} < _pane", f"_after IS NULL OR _pane + {far} < _after")
+        return _summed_changes(changes, keys, name, size, slide, minimum)
     chunked = _chunked(known, [*keys, value], time, slide, panes, windows)
     # One row per key, chunk and value; bit p says that the value occurs in pane p.
     masks = chunked.groupBy(*keys, "_chunk", value).agg(F.expr("bit_or(shiftleft(1L, _pane)) AS _mask"))

@@ -157,3 +157,26 @@ def test_a_day_of_minutes(spark):
     found = hop_count(df, ["key"], "ts", "1 day", "1 minute", "n")
     assert found.agg(F.sum("n"), F.max("n"), F.min("window_start")).first() == (50 * 1440, 50, datetime(2023, 12, 31, 0, 1))
     assert hop_distinct(df, ["key"], "value", "ts", "1 day", "1 minute", "n").agg(F.max("n"), F.count("*")).first() == (5, 1440 + 49)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=records, shape=st.sampled_from([("70 seconds", "1 second"), ("2 minutes", "1 second"), ("11 minutes", "10 seconds")]), minimum=st.sampled_from([1, 2]))
+def test_long_windows_equal_brute_force(spark, data, shape, minimum):
+    df = spark.createDataFrame(data, SCHEMA)
+    size, slide = map(seconds, shape)
+
+    def enough(found):
+        return {k: n for k, n in found.items() if n >= minimum}
+
+    assert result(hop_count(df, ["key"], "ts", *shape, "n", minimum), "n") == enough(brute_counts(data, size, slide))
+    assert result(hop_distinct(df, ["key"], "value", "ts", *shape, "n", minimum), "n") == enough(brute_distinct(data, size, slide))
+
+
+def test_long_windows_change_at_most_twice_per_pane_and_value(spark):
+    """A value seen every minute of a day counts in one stretch: one change where it begins, one behind its end."""
+    df = spark.range(1440).selectExpr("'a' AS key", "'x' AS value", "TIMESTAMP_NTZ'2024-01-01' + id * INTERVAL '1' MINUTE AS ts")
+    for size, first in (("1 day", 1439), ("90 minutes", 89)):
+        found = hop_distinct(df, ["key"], "value", "ts", size, "1 minute", "n")
+        assert found.agg(F.count("*"), F.min("n"), F.max("n")).first() == (1440 + first, 1, 1)
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Generate") == 2 and "sequence" in text.split("Generate")[1]
