@@ -12,11 +12,14 @@ from fraudlens.functions.records import assemble, decode_lenient, decode_strict,
 from fraudlens.functions.times import second_id, second_text
 from fraudlens.operators.joins import heavy_keys
 from fraudlens.operators.latest import latest_by_key
+from fraudlens.operators.windows import hop_distinct
 from fraudlens.plans import monitor, rules
 from fraudlens.session import shared_folder, stream_session
 from fraudlens.sources import driver_tables as t
 from fraudlens.sources.messages import decoded
 from fraudlens.streaming import jobs, lanes, seam, sinks
+from fraudlens.streaming.fanout import FanOut
+from fraudlens.streaming.rollup import Rollup
 from fraudlens.streaming.tiered import LandedTable, TieredLog
 from fraudlens.streaming.upsert import UpsertLog
 
@@ -148,6 +151,12 @@ def device_alerts(spark, sf_dir):
     return rules.device_sharing(t.transactions(spark, sf_dir))
 
 
+@query
+def users_per_week(spark, sf_dir):
+    """Users of each kind of event in a week, every hour: windows of 168 panes."""
+    return hop_distinct(t.table(spark, sf_dir, "events"), ["event_type"], "user_id", "ts", "7 days", "1 hour", "users")
+
+
 # --- records ---
 
 
@@ -619,3 +628,50 @@ def stream_blacklist_devices_heavy(spark, sf_dir):
     partitions = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = heavy_keys(t.transactions(spark, sf_dir), "device_id", partitions)
     return _run(spark, rules.blacklisted_devices(tx, devices, heavy=heavy), "devices")
+
+
+@query
+def stream_all_rules(spark, sf_dir):
+    """Every rule over one reading of the stream: alerts per rule and five minutes."""
+    tx = _closed(spark, sf_dir).select(*s.TRANSACTION_COLUMNS)
+    session, folder = tx.sparkSession, shared_folder(spark, "rules")
+    customers, devices = t.blacklist_customers(session, sf_dir), t.blacklist_devices(session, sf_dir)
+    tables = {name: LandedTable(f"{folder}/{name}", "timestamp") for name in ("big_amount", "blacklist")}
+    fan = FanOut(folder, tx.schema, {
+        "big_amount": (rules.big_amount, tables["big_amount"].write),
+        "blacklist": (lambda rows: rules.blacklist_hits(rows, customers, devices), tables["blacklist"].write),
+    })
+    _by_batch(spark, tx, fan.write, "fan-out")
+    alerts = {name: (_wall_clock(table.read(session), "timestamp"), "timestamp") for name, table in tables.items()}
+    for name in ("velocity_alerts", "geolocation_alerts", "device_alerts"):
+        alerts[name] = (_run(spark, jobs.WINDOWED[name].rule(rules.with_watermark(fan.stream(session))), name), "window_start")
+    return monitor.alert_rollup(alerts, "5 minutes")
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, Rollup]:
+    """Sums that a stream kept of the events in six files, of which each has events of all times."""
+    session, folder = stream_session(spark), shared_folder(spark, "rollup")
+    events = t.table(session, sf_dir, "events")
+    events.repartition(6, "event_id").write.parquet(f"{folder}/in")
+    rollup = Rollup(folder, "event_type", "ts", "value", fanout=3, files=1)
+    stream = session.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    _by_batch(spark, stream, rollup.write, "rolling-up")
+    return session, rollup
+
+
+@query
+def panel_counts_rolled_up(spark, sf_dir):
+    session, rollup = _rolled_up(spark, sf_dir)
+    return rollup.counts(session, "1 hour")
+
+
+@query
+def panel_avg_rolled_up(spark, sf_dir):
+    session, rollup = _rolled_up(spark, sf_dir)
+    return rollup.averages(session, "1 hour").withColumn("avg_value", F.round("avg_value", 10))
+
+
+@query
+def panel_p99_rolled_up(spark, sf_dir):
+    session, rollup = _rolled_up(spark, sf_dir)
+    return monitor.in_values(rollup.quantiles(session, "1 day", scale=1000), "event_type", None, excluded=["signup"])

@@ -189,11 +189,16 @@ SELECT rule, make_timestamp((epoch_us(raised) // 300000000) * 300000000) AS "tim
 }
 ORACLES["stream_blacklist_latest"] = ORACLES["blacklist_latest"]
 ORACLES["stream_big_amount_latest"] = ORACLES["big_amount_latest"]
+ORACLES["users_per_week"] = """WITH panes AS (SELECT DISTINCT event_type, user_id, epoch_us(ts) // 3600000000 AS p FROM events),
+met AS (SELECT DISTINCT event_type, user_id, unnest(range(p - 167, p + 1)) AS s FROM panes)
+SELECT event_type, make_timestamp(s * 3600000000) AS window_start, make_timestamp((s + 168) * 3600000000) AS window_end, count(*) AS users
+FROM met GROUP BY event_type, s"""
 # The same questions, asked of streams in other ways.
 for _name, _same in {
     "stream_velocity_out_of_order": "stream_velocity_alerts", "stream_device_strict": "stream_device_alerts",
     "stream_velocity_backfilled": "stream_velocity_alerts", "stream_tx_latest_tiered": "stream_tx_latest",
     "stream_blacklist_latest_tiered": "blacklist_latest", "stream_landed_tiered": "stream_landed_transactions",
-    "stream_blacklist_devices_heavy": "stream_blacklist_devices_joined",
+    "stream_blacklist_devices_heavy": "stream_blacklist_devices_joined", "stream_all_rules": "alert_rollup",
+    "panel_counts_rolled_up": "panel_counts", "panel_avg_rolled_up": "panel_avg", "panel_p99_rolled_up": "panel_p99",
 }.items():
     ORACLES[_name] = ORACLES[_same]

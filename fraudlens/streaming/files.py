@@ -64,6 +64,15 @@ def _written(spark: SparkSession, path: str, text: str, mode: str) -> None:
             files.delete(hidden, False)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder to a name that is free."""
+    files, where = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(where, target):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, where = _at(spark, path)
     files.delete(where, True)

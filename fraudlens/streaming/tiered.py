@@ -8,14 +8,14 @@ was committed before the stream could note it, is in the table once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fraudlens.operators.latest import latest_by_key
-from fraudlens.streaming.manifest import KEEP, Manifest, Part, State, full_tier
+from fraudlens.streaming.manifest import KEEP, Manifest, Part, State, full_tiers
 
 WRITER, BATCH, BUCKET = "_writer", "_batch", "_bucket"
 # The number of a batch that comes before all micro-batches.
@@ -78,7 +78,7 @@ class TieredLog:
     def _merge(self, spark: SparkSession, batch_id: int) -> bool:
         """Makes one part of a full tier, if there is one. If another writer has merged some of it meanwhile, the work is dropped."""
         state = self.manifest.read(spark)
-        old = full_tier(state.parts, self.fanout)
+        old = full_tiers(state.parts, self.fanout)
         if not old:
             return False
         part, _ = self._save(self._latest(self.manifest.frame(spark, state, old).drop(BUCKET)), batch_id)
@@ -111,6 +111,8 @@ class LandedTable:
     """Rows appended as they come, in parts of one date of ``time``, of which each date has few.
 
     A micro-batch writes at most ``files`` files per date, and the one that fills a tier of a date merges it. Rows without a time are of the date ``none``.
+    With ``sorted_by``, files are sorted by a column, so that a filter on it skips most of each. With ``combine``, rows are put
+    together when they are written and merged: a function of rows to fewer rows of the same columns, that of sums for instance.
     """
 
     path: str
@@ -119,6 +121,8 @@ class LandedTable:
     fanout: int = 8
     files: int = 4
     keep: int = KEEP
+    sorted_by: str | None = None
+    combine: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def manifest(self) -> Manifest:
@@ -126,10 +130,13 @@ class LandedTable:
 
     def _save(self, rows: DataFrame, batch: int, files: int) -> list[Part]:
         """Writes rows by date, a part each, of ``files`` files: names, rows and dates."""
+        rows = self.combine(rows) if self.combine else rows
         spark, name = rows.sparkSession, self.manifest.new_name(self.writer, batch)
         dated = rows.withColumn("_date", F.coalesce(F.to_date(self.time).cast("string"), F.lit("none")))
         # A micro-batch is mostly of one date, which is spread over as many tasks as it gets files.
-        dated.repartition("_date", F.pmod(F.xxhash64(*rows.columns), F.lit(files))).write.partitionBy("_date").parquet(self.manifest.part_path(name))
+        spread = dated.repartition("_date", F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
+        ordered = spread.sortWithinPartitions("_date", self.sorted_by) if self.sorted_by else spread
+        ordered.write.partitionBy("_date").parquet(self.manifest.part_path(name))
         counts = self.manifest.rows(spark, dated.schema.json(), [name]).groupBy("_date").count().collect()
         return [Part(f"{name}/_date={day}", n, day) for day, n in counts]
 
@@ -153,7 +160,7 @@ class LandedTable:
 
     def _merge(self, spark: SparkSession, batch_id: int) -> bool:
         state = self.manifest.read(spark)
-        old = full_tier(state.parts, self.fanout)
+        old = full_tiers(state.parts, self.fanout)
         if not old:
             return False
         parts = self._save(self.manifest.frame(spark, state, old), batch_id, -(-sum(p.rows for p in old) // ROWS_PER_FILE))

@@ -15,7 +15,7 @@ from fraudlens.operators.joins import dictionary_join, heavy_keys
 from fraudlens.plans import rules
 from fraudlens.sources.messages import decoded, from_files
 from fraudlens.streaming import files, jobs, lanes, seam, watch
-from fraudlens.streaming.manifest import Manifest, full_tier, size_tier
+from fraudlens.streaming.manifest import Manifest, full_tiers, size_tier
 from fraudlens.streaming.tiered import LandedTable, TieredLog
 from test_streaming import Feed, drain, feed, late_case, mixed_records, record, session, transactions  # noqa: F401
 
@@ -229,7 +229,7 @@ def test_offsets_of_a_seam(spark):
 
 def test_size_tiers():
     assert [size_tier(n, 4) for n in (1, 3, 4, 15, 16, 64)] == [0, 0, 1, 1, 2, 3]
-    assert full_tier((), 2) == []
+    assert full_tiers((), 2) == []
 
 
 def test_a_tiered_log_rewrites_by_the_logarithm(session, tmp_path):
