@@ -185,6 +185,21 @@ def small_vocabulary(seed: int) -> pieces.Vocabulary:
     return pieces.vocabulary(found, list(range(n, n + 256)), [True] * n + [False] * 256, False)
 
 
+def best_score(v: pieces.Vocabulary, text: str) -> float:
+    """Of the plain segmentation, position by position."""
+    known = {p: i for i, p in enumerate(v.pieces) if p and i not in set(v.byte_ids.tolist())}
+    data = b"\xff" + text.encode().replace(b" ", b"\xff")
+    best = [0.0] + [-math.inf] * len(data)
+    bare = [b for c in [b"\xff", *(x.encode().replace(b" ", b"\xff") for x in text)] for b in [c not in known] * len(c)]
+    for p in range(len(data)):
+        if bare[p]:
+            best[p + 1] = max(best[p + 1], best[p] + v.scores[v.byte_ids[data[p]]])
+        for q in range(p + 1, min(len(data), p + 20) + 1):
+            if data[p:q] in known:
+                best[q] = max(best[q], best[p] + v.scores[known[data[p:q]]])
+    return best[-1]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_segmentation_is_the_best_one(seed):
     v = small_vocabulary(seed)
@@ -192,21 +207,50 @@ def test_segmentation_is_the_best_one(seed):
     texts = ["".join(rng.choices("aabbé日 ☃\n▁", k=rng.randrange(30))) for _ in range(200)] + ["ab" * 400, None, ""]
     ids = pieces.encode(v, pa.array(texts))
     assert pieces.decode(v, ids).to_pylist() == texts
-    known = {p: i for i, p in enumerate(v.pieces) if p and i not in set(v.byte_ids.tolist())}
     for text, got in zip(texts, ids.to_pylist(), strict=True):
-        if not text:
-            assert not got
-            continue
-        data = b"\xff" + text.encode().replace(b" ", b"\xff")
-        best = [0.0] + [-math.inf] * len(data)
-        bare = [b for c in [b"\xff", *(x.encode().replace(b" ", b"\xff") for x in text)] for b in [c not in known] * len(c)]
-        for p in range(len(data)):
-            if bare[p]:
-                best[p + 1] = max(best[p + 1], best[p] + v.scores[v.byte_ids[data[p]]])
-            for q in range(p + 1, min(len(data), p + 20) + 1):
-                if data[p:q] in known:
-                    best[q] = max(best[q], best[p] + v.scores[known[data[p:q]]])
-        assert sum(v.scores[i] for i in got) == pytest.approx(best[-1])
+        assert sum(v.scores[i] for i in got) == best_score(v, text) if text else not got
+
+
+@pytest.mark.parametrize("sizes", [(16, 4, 3), (64, 16, 2), (2048, 256, 512)])
+@pytest.mark.parametrize("seed", range(2))
+def test_long_chunks_are_segmented_as_plain_ones(monkeypatch, seed, sizes):
+    for name, value in zip(("STRETCH", "WARM", "GROUP"), sizes, strict=True):
+        monkeypatch.setattr(pieces, name, value)
+    monkeypatch.setattr(pieces, "LONG", 20)
+    monkeypatch.setattr(pieces, "PART_BYTES", 3000)
+    monkeypatch.setattr(pieces, "DECODED", 700)
+    v = small_vocabulary(seed)
+    rng = random.Random(seed)
+    texts = [
+        "".join(rng.choices("aabbé日☃", k=1500)), "a" * 900, "abé" * 700, "日" * 400 + "☃" * 300, " " * 500, "x" * 2000 + " " + "ab " * 700,
+        "".join(rng.choices("ab é\n", k=4000)), "", None, "é" * 2500 + "\n\n" + "b" * 3500,
+    ]
+    ids = pieces.encode(v, pa.array(texts))
+    assert pieces.decode(v, ids).to_pylist() == texts
+    for text, got in zip(texts, ids.to_pylist(), strict=True):
+        assert sum(v.scores[i] for i in got) == best_score(v, text) if text else not got
+
+
+def test_long_text_without_spaces_takes_little_memory():
+    import tracemalloc
+
+    v = small_vocabulary(1)
+    rng = random.Random(1)
+    text = pa.array(["".join(rng.choices("aabbé日☃", k=1_500_000))])
+    tracemalloc.start()
+    ids = pieces.encode(v, text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces.decode(v, ids).equals(text) and most < 50 * text.nbytes
+
+
+def test_pieces_on_odd_rows(spark):
+    rows = [(1, None, "a"), (None, "", "b"), (1, "x" * 50_000, "c"), (1, "x" * 50_000, "c"), (2, "é ▁ \n", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, token_ids string").withColumns({"n_tokens": F.lit("n"), "round_trip": F.lit(0), "back": F.lit(1)})
+    found = pieces.with_pieces(df, small_vocabulary(2), check=True)
+    assert sorted((r.n_tokens > 0, r.round_trip, r.token_ids is None, r.back) for r in found.collect()) == [
+        (False, True, False, 1), (False, True, True, 1), (True, True, False, 1), (True, True, False, 1), (True, True, False, 1)]
+    assert pieces.with_pieces(df.limit(0), small_vocabulary(2)).collect() == []
 
 
 def test_pieces_of_documents_come_back(spark):
