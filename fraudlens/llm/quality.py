@@ -3,8 +3,8 @@
 A cumulative-link model says that a text reaches grade ``k`` with chance ``sigmoid(s - t_k)``, with
 ``t_1 < t_2 < ...`` and the same score ``s`` for all grades. The score is a sum of weights of the
 text's distinct words, hashed to ``FEATURES`` columns, and of its ``SHAPES``. Weights are fitted by
-follow the regularised leader, whose L1 penalty leaves words without evidence at zero, on about
-``SAMPLE`` of the rated texts, chosen by a hash of their id.
+follow the regularised leader, whose L1 penalty leaves words without evidence at zero, on at most
+``SAMPLE`` of the distinct rated texts, those of the smallest hashes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm import words as w
 from fraudlens.llm.ftrl import Leader
-from fraudlens.llm.storage import free, schema_with
+from fraudlens.llm.storage import free, schema_with, written
 
 FEATURES, SHAPES = 1 << 20, 8
 SAMPLE, EPOCHS = 16_384, 4
@@ -74,8 +74,8 @@ def _rated(batches):
     for batch in _slices(batches, "text"):
         at, bounds, shapes = features(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), w.binary(at.astype(np.int32), bounds), w.binary(shapes.reshape(-1), np.arange(len(shapes) + 1) * SHAPES)],
-            names=["grade", "at", "shapes"],
+            [batch.column("hash"), batch.column("grade"), w.binary(at.astype(np.int32), bounds), w.binary(shapes.reshape(-1), np.arange(len(shapes) + 1) * SHAPES)],
+            names=["hash", "grade", "at", "shapes"],
         )
 
 
@@ -86,17 +86,17 @@ def _sigmoid(x):
 def fit(docs: DataFrame, ratings: DataFrame, id_column: str = "doc_id", text_column: str = "text", grade_column: str = "grade", grades: int = 3, sample: int = SAMPLE) -> Model | None:
     """A model of the documents that ``ratings`` gives grades from 0 to ``grades - 1``; none if there are none.
 
-    About ``sample`` ratings, chosen by a hash of the id, are looked up; only the columns of the words of
-    these documents reach the driver. The chosen ratings are broadcast: 16 bytes each.
+    At most ``sample`` pairs of a text and a grade are learned from, those of the smallest hashes, each once,
+    however many documents or ratings have them. Only hashes of texts are joined with the ratings; the
+    chosen pairs, 12 bytes each, are broadcast, and the columns of their words reach the driver.
     """
     rated = ratings.select(F.col(id_column).alias("_id"), F.col(grade_column).cast("int").alias("grade")).where(f"_id is not null and grade between 0 and {grades - 1}")
-    total = rated.count()
-    share = max(1, int(min(1.0, sample / max(total, 1)) * 1_000_000))
-    chosen = rated.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1_000_000)) < share)
-    if chosen.count() <= 4 * sample:
-        chosen = F.broadcast(chosen)
-    texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).where("text is not null").join(chosen, "_id").select("text", "grade")
-    found = sorted((r.grade, bytes(r.at), bytes(r.shapes)) for r in texts.mapInArrow(_rated, "grade int, at binary, shapes binary").collect())
+    texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).where("text is not null").withColumn("hash", F.xxhash64("text"))
+    pairs = texts.select("_id", "hash").join(rated, "_id").select("hash", "grade").distinct()
+    chosen = written(pairs.orderBy("hash", "grade").limit(sample), "rated")
+    learned = texts.select("text", "hash").join(F.broadcast(chosen), "hash").dropDuplicates(["hash", "grade"])
+    rows = learned.mapInArrow(_rated, "hash bigint, grade int, at binary, shapes binary").collect()
+    found = sorted((r.grade, bytes(r.at), bytes(r.shapes), r.hash) for r in rows)
     if not found:
         return None
     columns, place = np.unique(np.frombuffer(b"".join(x[1] for x in found), np.int32), return_inverse=True)
