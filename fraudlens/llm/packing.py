@@ -4,8 +4,8 @@ Documents of one source, or of one cluster of duplicates (equal or nearly equal
 is left in them and carry a bitmap of their sources and clusters; from the tightest bin with enough
 room, the search goes on to the next until one has no conflict. Pieces are packed largest first.
 
-Documents are dealt into shards by a hash of their id, of a bounded number each, so that neither a
-large source nor a large cluster meets in one task. A document longer than a bin fills bins of its
+Pieces are dealt into shards of about ``SHARD`` by a hash of their document's id, text and source, and rows without an id
+evenly, so that neither a large source nor a large cluster meets in one task. A document longer than a bin fills bins of its
 own, and only its rest is packed.
 """
 
@@ -101,19 +101,22 @@ def packed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         same = F.when(text.isNotNull(), F.xxhash64(text))
     else:
         same = F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))
-    sized = docs.select(F.col(id_column).alias("doc"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).alias("_n"), source.alias("source"), same.alias("_same"))
+    spread = F.xxhash64(F.col(id_column), text, source, F.when(F.col(id_column).isNull(), F.monotonically_increasing_id()))
+    sized = docs.select(
+        F.col(id_column).alias("doc"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).alias("_n"), source.alias("source"), same.alias("_same"), spread.alias("_spread"))
     if near is None:
         sized = sized.withColumnRenamed("_same", "cluster")
     else:
         # Joined after the words are counted, so that no text is shuffled.
-        sized = sized.join(near, sized["_same"] == near["key"], "left").select("doc", "_n", "source", F.coalesce("cluster", "_same").alias("cluster"))
+        sized = sized.join(near, sized["_same"] == near["key"], "left").select("doc", "_n", "source", F.coalesce("cluster", "_same").alias("cluster"), "_spread")
     pieces = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / capacity).cast("int") - 1, F.lit(0)))))
-    pieces = pieces.select("doc", "piece", F.least(F.col("_n") - F.col("piece") * capacity, F.lit(capacity)).cast("int").alias("n_words"), "source", "cluster")
+    # Written, since the words of each text are counted once, and rows without an id keep their place.
+    pieces = written(pieces.select("doc", "piece", F.least(F.col("_n") - F.col("piece") * capacity, F.lit(capacity)).cast("int").alias("n_words"), "source", "cluster", "_spread"), "pieces")
     empty = pieces.where("n_words = 0").select("doc", "piece", "n_words", F.lit(None).cast("bigint").alias("bin_id"), F.lit(None).cast("int").alias("bin_start"))
-    shards = max(1, -(-docs.count() // SHARD))
-    shard = F.pmod(F.xxhash64("doc", "piece", F.lit(5)), F.lit(shards)).cast("int")
+    shards = max(1, -(-pieces.count() // SHARD))
+    shard = F.pmod(F.xxhash64("_spread", "piece", F.lit(5)), F.lit(shards)).cast("int")
     kind = dict(docs.dtypes)[id_column]
-    filled = pieces.where("n_words > 0").withColumn("_shard", shard).groupBy("_shard").applyInArrow(
+    filled = pieces.where("n_words > 0").withColumn("_shard", shard).drop("_spread").groupBy("_shard").applyInArrow(
         _pack(capacity), f"doc {kind}, piece int, n_words int, bin_id bigint, bin_start int"
     )
     return filled.union(empty).withColumnRenamed("doc", id_column)
