@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
 from html import unescape
@@ -45,6 +46,15 @@ OUTSIDE = frozenset(
     "complementary contentinfo search pagination pager toolbar dialog hidden".split()
 )
 INSIDE = frozenset("article main articlebody content post entry story post-content entry-content article-content article-body post-body story-body".split())
+# Words that say nothing about what an element holds, beside listed ones.
+PLAIN = frozenset(
+    "area bar bars bg block blocks body bottom bottombar box boxes btn button buttons card cards center cell col column columns container content "
+    "desktop entries entry fixed float footer form grid group header heading icon icons inline inner item items js large left level light link links list lists "
+    "main margin mobile module modules nav note outer overlay page pane panel panels placeholder post posts primary right row rows secondary section sections "
+    "site slot small sticky story stories tab tabs text thread title top topbar unit ui view widget widgets wrap wrapper zone "
+    "article articles close count counts field fields footers global headers hide img input label local message messages reply replies "
+    "results settings show slider submit teaser thumb toggle".split()
+)
 # Elements whose classes describe the page, and words by which a class says what is beside an element.
 FRAMES = frozenset("html body main article".split())
 BESIDE = frozenset("no has with without".split())
@@ -53,9 +63,12 @@ PRIOR = 2000
 # Names that a text has at most, but for one that says that it is outside.
 MOST_NAMES = 512
 
-_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_MARKUP = re.compile(rf"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES}|[^>]*>)|<[!?][^>]*>", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_MARKUP = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+# Characters in which most tags end.
+SOON = 512
+_COMMENT = re.compile("<!--")
+_NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden(?=[\s>=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 
@@ -99,12 +112,53 @@ def _joined(above: tuple[str, ...], own: list[str]) -> tuple[str, ...]:
     return above if bad is None or any(_outside(x) for x in above[MOST_NAMES - 1 :]) else (*above, bad)
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` outside quotes or, if there is none, at the first ``>``. Quotes and ends
+    of the page are looked through once, however many tags are open or how their quotes are mixed up."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.last = html, html.rfind(">")
+        self.events: list[int] | None = None
+
+    def of(self, at: int) -> int:
+        """The end of the tag whose name ends at ``at``, before the last ``>``."""
+        if self.events is None and (found := _ATTRIBUTES.match(self.html, at, at + SOON)):
+            return found.end()
+        outside = self._outside_quotes(at)
+        return (outside if outside >= 0 else self.html.find(">", at)) + 1
+
+    def _outside_quotes(self, at: int) -> int:
+        if self.events is None:
+            self.events = [m.start() for m in re.finditer(r"""[>"']""", self.html)]
+            # The event behind the quote that closes the one at an event, and what was found from there; -2: not looked yet.
+            self.behind, self.found, seen = [0] * len(self.events), [-2] * len(self.events), {}
+            for i in range(len(self.events) - 1, -1, -1):
+                mark = self.html[self.events[i]]
+                self.behind[i] = seen.get(mark, -1) + 1
+                seen[mark] = i
+        i, met, result = bisect_left(self.events, at), [], -1
+        while i < len(self.events):
+            if self.found[i] != -2:
+                result = self.found[i]
+                break
+            met.append(i)
+            if self.html[self.events[i]] == ">":
+                result = self.events[i]
+                break
+            if not self.behind[i]:
+                break
+            i = self.behind[i]
+        for i in met:
+            self.found[i] = result
+        return result
+
+
 def parts(html: str) -> list[Part]:
     out: list[Part] = []
     stack: list[Open] = []
     # Depths of the open elements of each name.
     depths: dict[str, list[int]] = {}
-    at, n = 0, len(html)
+    at, n, ends = 0, len(html), _Ends(html)
 
     def top() -> Open:
         return stack[-1] if stack else TOP
@@ -122,12 +176,19 @@ def parts(html: str) -> list[Part]:
 
     while at < n:
         found = _MARKUP.search(html, at)
-        if not found:
-            text(n)
+        comment = found is not None and found[0] == "<!--"
+        if not found or (not comment and found.end() > ends.last):
+            # Without an end there is no tag, but a comment lasts to the end of the page.
+            comment = _COMMENT.search(html, at) if found else None
+            text(comment.start() if comment else n)
             break
         text(found.start())
-        at = found.end()
         name = (found[2] or "").lower()
+        if comment:
+            end = html.find("-->", found.end())
+            at = end + 3 if end >= 0 else n
+        else:
+            at = ends.of(found.end()) if name else html.find(">", found.end()) + 1
         if not name:
             continue
         if found[1]:
@@ -138,12 +199,12 @@ def parts(html: str) -> list[Part]:
             if not ended.unread:
                 out.append(Part(None, ended.names[-1:], name not in INLINE and name != "br", ended.around))
             continue
-        attributes = found[3]
+        attributes = html[found.end() : at]
         alone = attributes.endswith("/>")
         if name in RAW:
             # Its content is no markup, or no text of the page.
             if not (alone and top().foreign):
-                end = _ENDS[name].search(html, at)
+                end = _ENDS[name].search(html, at) if at <= ends.last else None
                 at = end.end() if end else n
             if not top().unread:
                 out.append(Part(None, (name,), name not in INLINE, top().around))
@@ -151,7 +212,7 @@ def parts(html: str) -> list[Part]:
         own = [name]
         if len(attributes) > 2:
             for m in _NAMES.finditer(attributes):
-                given = (m[1] or m[2] or m[3] or "").lower().split()
+                given = _telling(name, m[1], m[2] or m[3] or m[4] or "")
                 own += [x for x in given if not _outside(x)] if name in FRAMES else given
             if _HIDDEN.search(attributes):
                 own.append("hidden")
@@ -181,8 +242,19 @@ def parts(html: str) -> list[Part]:
 
 @lru_cache(100_000)
 def _outside(name: str) -> bool:
+    """Whether a name says that what it names is no content: a listed one, or one of several words of which
+    some are listed and all others say nothing. With a word of its own meaning (social-science) the odds decide."""
     words = re.split(r"[-_]", name)
-    return name in OUTSIDE or (BESIDE.isdisjoint(words) and not OUTSIDE.isdisjoint(words))
+    if name in OUTSIDE:
+        return True
+    return BESIDE.isdisjoint(words) and any(x in OUTSIDE for x in words) and all(x in OUTSIDE or x in PLAIN or not x.isalpha() for x in words)
+
+
+def _telling(name: str, kind: str, given: str) -> list[str]:
+    """The names that an attribute gives to an element. Ids of headings and paragraphs are made from their text."""
+    if kind.lower() == "id" and name in PROSE:
+        return []
+    return given.lower().split()
 
 
 def _labelled(html: str) -> Counter:
@@ -259,6 +331,18 @@ def _inserted(model: Model, found: list[Part], known: dict):
     return inserted
 
 
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """Begin and end of the run with the largest sum, in one scan; an empty one if no sum is positive."""
+    best, total, begin, span = 0.0, 0.0, 0, (0, 0)
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, begin = 0.0, i
+        total += score
+        if total > best:
+            best, span = total, (begin, i + 1)
+    return span
+
+
 def extract(html: str | None, model: Model, known: dict | None = None) -> str:
     """The blocks of the best run, joined by two line ends; empty if no word has a positive score."""
     if not html:
@@ -280,15 +364,9 @@ def extract(html: str | None, model: Model, known: dict | None = None) -> str:
             score = _score(model, p.names, known)
             # Nor does a long text that is no content.
             scores.append(words * score if score > 0 else max(-3.0, words * score))
-    best, total, begin, span = 0.0, 0.0, 0, (0, 0)
-    for i, score in enumerate(scores):
-        if total <= 0:
-            total, begin = 0.0, i
-        total += score
-        if total > best:
-            best, span = total, (begin, i + 1)
+    begin, end = best_run(scores)
     blocks, current = [], []
-    for p in found[span[0] : span[1]]:
+    for p in found[begin:end]:
         if p.text is not None and _score(model, p.names, known) > 0:
             current.append(p.text)
         elif p.block and current:
