@@ -5,18 +5,18 @@ edge is repeated if documents with different ids have it; its source is its firs
 document with the smallest id. Consecutive edges of a document whose sources are consecutive too form
 a path without branches, which is compacted to one span: place, length, source document, source place.
 
-The work is dealt in two ways. Documents lie in blocks of a bounded number of documents; edges lie
+The work is dealt in two ways. Documents lie in blocks of a bounded number of documents and bytes; edges lie
 in buckets by their hash, and a block sends a bucket each edge once, so that no edge has more rows
 than there are blocks, however many copies it has. Joins by block bring the answers back to the texts:
 
 1. Blocks send the smallest seed (``seed`` words) of each window; about a quarter of the words. A
    window whose seed is in one document only cannot be repeated.
 2. For the rest, blocks send the windows themselves, as 96 bits from two independent hashes, with the
-   coordinates of their first place. Buckets return the source of edges that more documents have.
-3. Blocks compact the answers to spans, check them word by word against their own text, and remove
-   the covered words.
+   coordinates of their first place. Buckets return the source of edges that more documents have, with all bits.
+3. Blocks look their own edges up by all 96 bits, compact them to spans, and remove the words of the spans.
 
-An edge is trusted if all 96 bits agree: the chance of one wrong span is below 1e-9 for 1e10 candidate windows.
+The words of a span are not compared with those of its source, of which only hashes are sent: an edge is trusted if
+all 96 bits agree. The chance of one wrong span is below 1e-9 for 1e10 candidate windows.
 """
 
 from __future__ import annotations
@@ -30,14 +30,15 @@ from pyspark.sql import DataFrame, functions as F
 from fraudlens.llm import words as w
 from fraudlens.llm.storage import free, schema_with
 
-BLOCK_DOCUMENTS = 128
+# What a block holds on average; a longer document takes one block beyond that.
+BLOCK_DOCUMENTS, BLOCK_BYTES = 128, 4 << 20
 SEED_HASH, EDGE_HASH, CHECK_HASH = 11, 12, 13
 ADDED = ("n_words", "n_removed", "kept_sha256", "spans")
 SPANS = "array<struct<start:int,words:int,source:bigint,source_start:int>>"
 
 
-def _spread(count: int) -> tuple[int, int]:
-    blocks = max(1, -(-count // BLOCK_DOCUMENTS))
+def _spread(count: int, size: int) -> tuple[int, int]:
+    blocks = max(1, -(-count // BLOCK_DOCUMENTS), -(-size // BLOCK_BYTES))
     return blocks, max(256, blocks // 8)
 
 
@@ -158,33 +159,41 @@ def _sources(table: pa.Table) -> pa.Table:
     sizes = np.diff(np.append(heads, len(keys)))
     source = np.repeat(heads, sizes)
     answer = (owners != owners[source]) | more
-    return _by_block(block[answer], keys=keys[answer], sources=owners[source][answer], places=places[source][answer])
+    return _by_block(block[answer], keys=keys[answer], checks=checks[answer], sources=owners[source][answer], places=places[source][answer])
 
 
 def _cut(id_column: str, text_column: str, k: int, keep_text: bool, names: list[str]):
     def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
         ids, known = _ids(table, id_column)
         text = w.columns(table[text_column])
-        (edge,), first = w.hashes(text, EDGE_HASH)
+        (edge, check), first = w.hashes(text, EDGE_HASH, CHECK_HASH)
         at = w.whole(first, k)
         keys = w.grams(edge, k, EDGE_HASH)[at] if len(at) else np.zeros(0, np.uint64)
+        checks = (w.grams(check, k, CHECK_HASH)[at] >> np.uint64(32)).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
         row = w.rows_of(first)[at]
         covered = np.zeros(int(first[-1]) + 1, np.int64)
         spans: list[list[dict]] = [[] for _ in range(len(ids))]
         answer = w.unpack(answers["keys"], np.uint64)[0]
         if len(answer) and len(at):
             sources, places = w.unpack(answers["sources"], np.int64)[0], w.unpack(answers["places"], np.int32)[0]
-            order = np.argsort(answer)
-            answer, sources, places = answer[order], sources[order], places[order]
+            bits = w.unpack(answers["checks"], np.uint32)[0]
+            order = np.lexsort((bits, answer))
+            answer, bits, sources, places = answer[order], bits[order], sources[order], places[order]
             found = np.minimum(np.searchsorted(answer, keys), len(answer) - 1)
-            hit = (answer[found] == keys) & known[row] & (sources[found] < ids[row])
+            # Of edges that agree in 64 bits, that of equal check bits.
+            for _ in range(int(np.diff(np.flatnonzero(np.append(np.concatenate([[True], answer[1:] != answer[:-1]]), True))).max()) - 1):
+                onward = (found + 1 < len(answer)) & (bits[found] != checks)
+                onward[onward] = answer[found[onward] + 1] == keys[onward]
+                found = found + onward
+            hit = (answer[found] == keys) & (bits[found] == checks) & known[row] & (sources[found] < ids[row])
             at, row, source, place = at[hit], row[hit], sources[found][hit], places[found][hit]
-            np.add.at(covered, at, 1)
-            np.add.at(covered, at + k, -1)
             joins = np.zeros(len(at), bool)
             joins[1:] = (at[1:] == at[:-1] + 1) & (row[1:] == row[:-1]) & (source[1:] == source[:-1]) & (place[1:] == place[:-1] + 1)
             heads = np.flatnonzero(~joins)
-            for h, n in zip(heads, np.diff(np.append(heads, len(at))), strict=True):
+            edges = np.diff(np.append(heads, len(at)))
+            np.add.at(covered, at[heads], 1)
+            np.add.at(covered, at[heads] + edges + k - 1, -1)
+            for h, n in zip(heads, edges, strict=True):
                 r = int(row[h])
                 spans[r].append({"start": int(at[h] - first[r]), "words": int(n + k - 1), "source": int(source[h]), "source_start": int(place[h])})
         gone = np.cumsum(covered)[:-1] > 0
@@ -233,8 +242,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     they are; texts shorter than ``k`` words lose nothing; a row without an id is neither a source nor
     changed; rows of the same id are no sources of each other. An empty table gives an empty result.
     """
-    rows = free(docs, *ADDED, "_block", "_bucket")
-    blocks, buckets = _spread(rows.count())
+    given = free(docs, *ADDED)
+    # Other columns go by numbers, so that none has a name that is used here.
+    rows = given.toDF(*[c if c in (id_column, text_column) else f"carried_{i}" for i, c in enumerate(given.columns)])
+    told = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col(text_column).cast("string"))).alias("bytes")).first()
+    blocks, buckets = _spread(told["n"], told["bytes"] or 0)
     block = F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).cast("int")
     placed = rows.withColumn("_block", block)
     seeds = placed.groupBy("_block").applyInArrow(
@@ -245,10 +257,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         _send_edges(id_column, text_column, k, seed, buckets),
         "_block int, _bucket int, keys binary, checks binary, owners binary, places binary, more binary",
     )
-    sources = edges.groupBy("_bucket").applyInArrow(_sources, "_block int, keys binary, sources binary, places binary")
+    sources = edges.groupBy("_bucket").applyInArrow(_sources, "_block int, keys binary, checks binary, sources binary, places binary")
     left_out = () if keep_text else (text_column,)
     names = [c for c in rows.columns if c not in left_out]
     schema = schema_with(rows, f"n_words bigint, n_removed bigint, kept_sha256 string, spans {SPANS}", left_out)
-    return placed.groupBy("_block").cogroup(sources.groupBy("_block")).applyInArrow(
+    done = placed.groupBy("_block").cogroup(sources.groupBy("_block")).applyInArrow(
         _cut(id_column, text_column, k, keep_text, names), schema
     )
+    return done.toDF(*[c for c in given.columns if c not in left_out], *ADDED)

@@ -322,6 +322,37 @@ def test_near_copies_never_share_a_bin(spark, tmp_path):
     assert len({r.bin_id for r in found}) == 4
 
 
+def test_repeats_keep_columns_of_any_name(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(30)), "x", 5, 7, "b"), (2, "before " + " ".join(f"w{i}" for i in range(30)) + " behind", "y", 6, 8, "c"), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _block string, _bucket int, carried_3 long, `a b` string")
+    found = substring_dedup.remove_repeats(df)
+    assert found.columns[:6] == df.columns
+    assert sorted((tuple(r) for r in found.select("doc_id", "_block", "_bucket", "carried_3", "`a b`", "n_removed").collect()), key=str) == [
+        (1, "x", 5, 7, "b", 0), (2, "y", 6, 8, "c", 30), (None, None, None, None, None, 0)]
+    assert [r.spans for r in found.where("doc_id = 2").collect()] == [[(1, 30, 1, 0)]]
+
+
+def test_edges_that_agree_in_some_bits_only_are_told_apart():
+    """The answers hold an edge of the same 64 bits, and another source, before the right one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from fraudlens.llm import words as w
+
+    text = " ".join(f"w{i}" for i in range(13))
+    (edge, check), _ = w.hashes(w.columns(pa.array([text])), substring_dedup.EDGE_HASH, substring_dedup.CHECK_HASH)
+    key = w.grams(edge, 13, substring_dedup.EDGE_HASH)[0]
+    bits = np.uint32(w.grams(check, 13, substring_dedup.CHECK_HASH)[0] >> np.uint64(32))
+    for given, removed in (([bits - 1, bits, bits + 1], 13), ([bits - 1, bits + 1], 0)):
+        answers = pa.table({
+            "keys": pa.array([np.full(len(given), key, np.uint64).tobytes()]), "checks": pa.array([np.array(given, np.uint32).tobytes()]),
+            "sources": pa.array([np.arange(len(given)).tobytes()]), "places": pa.array([np.zeros(len(given), np.int32).tobytes()]),
+        })
+        cut = substring_dedup._cut("doc_id", "text", 13, True, ["doc_id"])
+        found = cut(pa.table({"doc_id": pa.array([9], pa.int64()), "text": pa.array([text])}), answers)
+        assert found["n_removed"].to_pylist() == [removed]
+
+
 @pytest.mark.parametrize("name", ["op2_quality", "op3_substring_dedup", "op4_near_dedup", "op5_pii", "op6_packing", "op7_language", "op9_pieces"])
 def test_empty_tables(spark, tmp_path, name):
     for table in ("documents", "labels"):
