@@ -20,6 +20,7 @@ from fraudlens.sources.messages import decoded
 from fraudlens.streaming import jobs, lanes, seam, sinks
 from fraudlens.streaming.fanout import FanOut
 from fraudlens.streaming.rollup import Rollup
+from fraudlens.streaming.seen import SeenRows
 from fraudlens.streaming.tiered import LandedTable, TieredLog
 from fraudlens.streaming.upsert import UpsertLog
 
@@ -675,3 +676,15 @@ def panel_avg_rolled_up(spark, sf_dir):
 def panel_p99_rolled_up(spark, sf_dir):
     session, rollup = _rolled_up(spark, sf_dir)
     return monitor.in_values(rollup.quantiles(session, "1 day", scale=1000), "event_type", None, excluded=["signup"])
+
+
+@query
+def stream_dictionary_distinct_table(spark, sf_dir):
+    """Entries once, told apart by a table of those that were seen; the stream itself keeps no state."""
+    session, folder = stream_session(spark), shared_folder(spark, "seen")
+    t.dictionary_feed(session, sf_dir).drop("o_orderkey").repartition(4).write.parquet(f"{folder}/in")
+    schema = session.read.parquet(f"{folder}/in").schema
+    feed = session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    seen = SeenRows(folder, ("customer_id", "description"), fanout=3, buckets=4)
+    _by_batch(spark, feed, seen.write, "seeing")
+    return seen.read(session)

@@ -198,7 +198,7 @@ for _name, _same in {
     "stream_velocity_out_of_order": "stream_velocity_alerts", "stream_device_strict": "stream_device_alerts",
     "stream_velocity_backfilled": "stream_velocity_alerts", "stream_tx_latest_tiered": "stream_tx_latest",
     "stream_blacklist_latest_tiered": "blacklist_latest", "stream_landed_tiered": "stream_landed_transactions",
-    "stream_blacklist_devices_heavy": "stream_blacklist_devices_joined", "stream_all_rules": "alert_rollup",
+    "stream_blacklist_devices_heavy": "stream_blacklist_devices_joined", "stream_all_rules": "alert_rollup", "stream_dictionary_distinct_table": "stream_dictionary_distinct",
     "panel_counts_rolled_up": "panel_counts", "panel_avg_rolled_up": "panel_avg", "panel_p99_rolled_up": "panel_p99",
 }.items():
     ORACLES[_name] = ORACLES[_same]
