@@ -12,15 +12,34 @@ import fraudlens
 from fraudlens.session import shared_folder
 
 
+# Folders of intermediate tables that this application has made and not removed, in their order.
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet and reads it back: later steps neither compute it again nor depend
     on the executors that made it."""
     spark = df.sparkSession
     folder = shared_folder(spark, name)
+    _made.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def remove(spark: SparkSession, first: int = 0, last: int | None = None) -> None:
+    """Deletes the intermediate tables from the ``first`` to before the ``last``, in the order they were made (see
+    :func:`made`). Results read them until they are written themselves: call it only then."""
+    for folder in _made[first:last]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _made[first:last]
+
+
+def made() -> int:
+    """How many intermediate tables there are."""
+    return len(_made)
+
+
 def free(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator adds itself."""
     return df.drop(*[c for c in df.columns if c in names])

@@ -22,6 +22,8 @@ K, SCALE = 5, 256
 QUERY_BLOCK, ROW_BLOCK, DIMENSIONS = 512, 8192, 16
 # Sums of products below this are exact in double precision.
 EXACT = 2.0**52
+# Scores beyond this are refused; the check is made in double precision.
+MOST = 2.0**63 * (1 - 1e-9)
 
 
 def _whole(scale: float):
@@ -46,6 +48,9 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
     own = query_ids[:, None] == ids[None, :]
     if kind is np.int64:
         score = queries @ rows.T
+        # Sums that wrap on the way are right if the result is in range.
+        if np.abs(queries.astype(np.float64) @ rows.T.astype(np.float64)).max(initial=0) > MOST:
+            raise ValueError("an inner product does not fit into 64 bits; use a smaller scale")
         least = np.iinfo(np.int64).min
         score = np.where(own, least, score)
         at = max(0, len(ids) - k)
@@ -103,7 +108,8 @@ def top_k(queries: DataFrame, rows: DataFrame, id_column: str = "vec_id", vector
 
     Vectors that are null or empty or hold null or non-finite numbers take no part, nor do rows
     without an id; vectors are compared with those of their own length. Repeated equal query rows are
-    one query, repeated rows are ranked each. Empty tables give an empty result.
+    one query, repeated rows are ranked each. Empty tables give an empty result. Components beyond 2^62 take no
+    part; scores that do not fit into 64 bits fail the job.
     """
 
     def numbers(df: DataFrame) -> DataFrame:

@@ -114,3 +114,21 @@ def test_shards_are_even(spark, rows):
     shards = Counter(r[0] for r in found.select((F.col("bin_id") / (1 << 24)).cast("long")).collect())
     counts = sorted(shards.values())
     assert len(counts) >= 4 and counts[-1] < 2 * counts[len(counts) // 2]
+
+
+def test_intermediate_tables_go_once_their_result_is_written(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+    from conftest import DATA
+    from fraudlens.llm import storage
+
+    before = storage.made()
+    result = corpus_pipeline.run(spark, DATA)
+    base = spark.conf.get("spark.checkpoint.dir")
+    folders = [f.removeprefix(f"{base}/") for f in storage._made[before:]]
+    # Of four stages the last one, and what the packing itself has written.
+    assert sum(f.startswith("pipeline-") for f in folders) == 1 and folders[0].startswith("pipeline-pii") and len(folders) <= 3
+    assert result.count() > 0
+    storage.remove(spark, before)
+    assert storage.made() == before and not any(os.path.exists(f"{base}/{f}") for f in folders)

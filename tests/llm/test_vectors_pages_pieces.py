@@ -48,6 +48,25 @@ def test_top_k_equals_plain_version(spark):
     assert found == sorted(expected)
 
 
+def test_scores_do_not_wrap():
+    import numpy as np
+
+    from fraudlens.llm import topk
+
+    ids, rows = np.array([1, 2]), np.array([[2, 2], [2**31, 2**31]], np.int64)
+    q, c, score = topk.best(np.array([9]), np.array([[2**30, 2**30]], np.int64), ids, rows, 2)
+    assert dict(zip(c.tolist(), score.tolist(), strict=True)) == {0: 2**32, 1: 2**62}
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.best(np.array([9]), np.array([[2**32, 2**32]], np.int64), ids, rows, 2)
+
+
+@pytest.mark.parametrize("name", ["op8_topk", "op10_embedding_dedup", "op11_url_filter"])
+def test_empty_vectors_and_pages(spark, tmp_path, name):
+    for table in ("embeddings", "pages"):
+        spark.read.parquet(f"{DATA}/{table}.parquet").where("false").write.parquet(f"{tmp_path}/{table}.parquet")
+    assert queries.QUERIES[name](spark, str(tmp_path)).collect() == []
+
+
 def test_branch_and_bound_equals_full_scores():
     rng = np.random.default_rng(2)
     for size, scale in ((64, 40), (7, 3), (40, 1 << 28)):
