@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm import language, near_dedup, packing, pii, substring_dedup
-from fraudlens.llm.storage import ship, written
+from fraudlens.llm.storage import made, remove, ship, written
 
 # Below this many times the probability of chance (1 by the number of languages), a language counts as unknown.
 LEAST_LIFT = 1.2
@@ -83,7 +83,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs, first = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), made()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # All that a stage was made from goes once the stage is written, the stage before it too.
+        remove(spark, first, made() - 1)
     return STAGES[-1][1](spark, docs, sf_dir)
