@@ -30,6 +30,8 @@ from fraudlens.operators.joins import dictionary_join
 TURN_BYTES = 16
 # Turns that are peeled at a time, and ids of equal conversations that are hashed or sent at a time.
 BLOCK_TURNS, BLOCK_IDS = 1 << 20, 1 << 16
+# Rows of a batch of results.
+BATCH = 8192
 
 NODE, OPEN, IDS = 0, 1, 2
 COLUMNS = "kind byte, key string, parent_key string, depth long, conv_id long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, size long, ends string, ids string"
@@ -153,6 +155,7 @@ class _Partition:
         self.carried_ends: list[str] = []
         self.left = -1
         self.out: list[pa.RecordBatch] = []
+        self.held_rows: dict[str, list] = {f.name: [] for f in SCHEMA}
 
     # --- equal conversations ---
 
@@ -188,17 +191,31 @@ class _Partition:
     # --- output ---
 
     def _row(self, kind: int, **values) -> None:
-        self._batch(1, kind=pa.array([kind], pa.int8()), **{k: pa.array([v]) for k, v in values.items()})
+        self._batch(1, kind=[kind], **{k: [v] for k, v in values.items()})
 
     def _batch(self, n: int, **values) -> None:
-        if n:
+        """``n`` rows of some columns, as lists or arrays; the others are null. Few rows, such as a deep
+        conversation has at each depth, are gathered first."""
+        if n >= BATCH:
+            self._flush()
             self.out.append(pa.RecordBatch.from_arrays(
-                [values[f.name].cast(f.type) if f.name in values else pa.nulls(n, f.type) for f in SCHEMA], schema=SCHEMA))
+                [pa.array(values[f.name], f.type, from_pandas=False) if f.name in values else pa.nulls(n, f.type) for f in SCHEMA], schema=SCHEMA))
+        elif n:
+            for name, held in self.held_rows.items():
+                given = values.get(name)
+                held.extend([None] * n if given is None else given.tolist() if isinstance(given, np.ndarray) else given)
+            if len(self.held_rows["kind"]) >= BATCH:
+                self._flush()
+
+    def _flush(self) -> None:
+        if self.held_rows["kind"]:
+            self.out.append(pa.RecordBatch.from_pydict(self.held_rows, SCHEMA))
+            self.held_rows = {f.name: [] for f in SCHEMA}
 
     def take(self) -> Iterator[pa.RecordBatch]:
-        if self.out:
-            yield from pa.Table.from_batches(self.out, SCHEMA).combine_chunks().to_batches()
-            self.out = []
+        self._flush()
+        yield from self.out
+        self.out = []
 
     # --- peeling ---
 
@@ -276,12 +293,12 @@ class _Partition:
         parent_key[on_right] = last_keys[d - 1] if d - 1 < len(last_keys) else None
         parent_key[opened & ~on_right] = first_keys[d - 1] if d - 1 < len(first_keys) else None
         ends = nodes["ends"][chosen]
+        parent = parent_least[to].astype(object)
+        parent[opened] = None
         self._batch(
-            len(chosen), kind=pa.array(np.full(len(chosen), NODE, np.int8)), key=pa.array(nodes["key"][chosen], pa.string()), parent_key=pa.array(parent_key, pa.string()),
-            depth=pa.array(np.full(len(chosen), d, np.int64)), conv_id=pa.array(nodes["least"][chosen]),
-            parent_conv_id=pa.array(parent_least[to], mask=opened), n_convs=pa.array(nodes["n"][chosen]), n_children=pa.array(nodes["children"][chosen]),
-            n_leaves=pa.array(nodes["leaves"][chosen]), saved_tokens=pa.array(nodes["saved"][chosen]),
-            ends=pa.array(np.where(ends == "", NOTHING, ends).astype(object), pa.string()),
+            len(chosen), kind=np.full(len(chosen), NODE, np.int8), key=nodes["key"][chosen], parent_key=parent_key, depth=np.full(len(chosen), d),
+            conv_id=nodes["least"][chosen], parent_conv_id=parent, n_convs=nodes["n"][chosen], n_children=nodes["children"][chosen],
+            n_leaves=nodes["leaves"][chosen], saved_tokens=nodes["saved"][chosen], ends=np.where(ends == "", NOTHING, ends).astype(object),
         )
 
     def _open(self, d: int, keys: list[str], sums: dict, size: int, ends: str) -> None:
@@ -322,34 +339,29 @@ def _merge_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not held:
         return
     rows = pa.Table.from_batches(held).to_pandas()
+    met = rows.groupby("key").agg(
+        depth=("depth", "first"), parent_key=("parent_key", "first"), least=("conv_id", "min"), n=("n_convs", "sum"), children=("n_children", "sum"),
+        leaves=("n_leaves", "sum"), saved=("saved_tokens", "sum"), size=("size", "max"), ends=("ends", "max")).sort_values("depth", ascending=False, kind="stable")
+    above = met.index.get_indexer(met["parent_key"])
+    depth, least, n, children, leaves, saved, size = (met[c].to_numpy(np.int64).copy() for c in ("depth", "least", "n", "children", "leaves", "saved", "size"))
+    edges = np.flatnonzero(np.concatenate([[True], depth[1:] != depth[:-1], [True]]))
+    for a, b in zip(edges, edges[1:], strict=False):
+        leaves[a:b] = np.where(children[a:b] == 0, 1, leaves[a:b])
+        saved[a:b] += (n[a:b] - 1) * size[a:b]
+        to = above[a:b]
+        if to[0] < 0:
+            break
+        for total, part in ((n, n), (children, None), (leaves, leaves), (saved, saved)):
+            np.add.at(total, to, 1 if part is None else part[a:b])
+        np.minimum.at(least, to, least[a:b])
+    parents = least[above].astype(object)
+    parents[above < 0] = None
+    ends = met["ends"].to_numpy(object)
     part = _Partition()
-    below = None
-    for d in sorted(rows["depth"].unique(), reverse=True):
-        met = rows[rows["depth"] == d].groupby("key", sort=True).agg(
-            parent_key=("parent_key", "first"), least=("conv_id", "min"), n=("n_convs", "sum"), children=("n_children", "sum"),
-            leaves=("n_leaves", "sum"), saved=("saved_tokens", "sum"), size=("size", "max"), ends=("ends", "max"))
-        if below is not None:
-            handed_on = below.groupby("parent_key").agg(
-                least=("least", "min"), n=("n", "sum"), children=("n", "size"), leaves=("leaves", "sum"), saved=("saved", "sum"))
-            for name in ("n", "children", "leaves", "saved"):
-                met[name] += handed_on[name].reindex(met.index, fill_value=0)
-            met["least"] = np.minimum(met["least"], handed_on["least"].reindex(met.index, fill_value=NEVER))
-            _merged(part, d + 1, below, met["least"])
-        met["leaves"] = met["leaves"].where(met["children"] > 0, 1)
-        met["saved"] += (met["n"] - 1) * met["size"]
-        below = met
-    if below is not None:
-        _merged(part, 0, below, None)
-    yield from part.take()
-
-
-def _merged(part: _Partition, depth: int, nodes, parents) -> None:
-    above = pa.nulls(len(nodes), pa.int64()) if parents is None else pa.array(parents.reindex(nodes["parent_key"]).to_numpy(np.int64))
     part._batch(
-        len(nodes), kind=pa.array(np.full(len(nodes), NODE, np.int8)), key=pa.array(nodes.index.to_numpy(), pa.string()), depth=pa.array(np.full(len(nodes), depth, np.int64)),
-        conv_id=pa.array(nodes["least"].to_numpy()), parent_conv_id=above, n_convs=pa.array(nodes["n"].to_numpy()), n_children=pa.array(nodes["children"].to_numpy()),
-        n_leaves=pa.array(nodes["leaves"].to_numpy()), saved_tokens=pa.array(nodes["saved"].to_numpy()), ends=pa.array(nodes["ends"].where(nodes["ends"] != "", NOTHING).to_numpy(), pa.string()),
-    )
+        len(met), kind=np.full(len(met), NODE, np.int8), key=met.index.to_numpy(object), depth=depth, conv_id=least, parent_conv_id=parents, n_convs=n,
+        n_children=children, n_leaves=leaves, saved_tokens=saved, ends=np.where(ends == "", NOTHING, ends).astype(object))
+    yield from part.take()
 
 
 def _hash_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
