@@ -26,8 +26,8 @@ from fraudlens.streaming.upsert import Database, RelationalTable, UpsertLog
 # The messages of an input; of transactions it may be a list, of a stream for each partition.
 Read = Callable[[str], DataFrame | list[DataFrame]]
 Write = Callable[[DataFrame, int], None]
-# The place of a message in its topic, which tells the write order of a key.
-PLACE = ("partition", "offset")
+# The place of a message in its topic, and when it came, where the source tells that: the write order of a key.
+PLACE, ARRIVAL = ("partition", "offset"), "arrival"
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,9 @@ class Options:
         return {"strategy": self.strategy} if self.strategy else {}
 
     def carried(self, messages: DataFrame) -> tuple[str, ...]:
-        return PLACE if self.place and set(PLACE) <= set(messages.columns) else ()
+        if not self.place or not set(PLACE) <= set(messages.columns):
+            return ()
+        return (*[c for c in (ARRIVAL,) if c in messages.columns], *PLACE)
 
 
 Rule = Callable[[Read, Options], DataFrame]
@@ -192,8 +194,10 @@ KEYED = {"big_amount": 0, "blacklist_customers": 0, "blacklist_devices": 1, "vel
 
 
 def _order(columns: Sequence[str], otherwise: list[str]) -> list[str]:
-    """Messages of one key are in one partition, by offset; across partitions there is no order, but a defined one."""
-    return ["offset", "partition"] if set(PLACE) <= set(columns) else otherwise
+    """By arrival, and by offset in a partition. Without the time of arrival there is no order across partitions, but a defined one."""
+    if not set(PLACE) <= set(columns):
+        return otherwise
+    return [*[c for c in (ARRIVAL,) if c in columns], "offset", "partition"]
 
 
 def upsert_log(job: str, path: str, columns: Sequence[str] = (), compact_every: int | None = None) -> UpsertLog:
@@ -253,12 +257,6 @@ def relational_table(job: str, database: Database, table: str, columns: Sequence
     return RelationalTable(database, table, schema.fieldNames(), s.OUTPUT_KEYS[JOBS[job][0]], _order(columns, otherwise))
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that came behind the watermark and were left out, over the progress that Spark still holds. A running job
-    tells them by ``watch.DroppedRows``."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-
-
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False, interval: str = "10 seconds") -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()

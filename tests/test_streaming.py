@@ -312,6 +312,18 @@ def test_rows_carry_the_place_of_their_message(session, tmp_path, job):
         assert rows(drain(session, df, tmp_path), "partition", "offset") == [(3, 7), (3, 8)]
 
 
+def test_of_two_partitions_the_later_message_is_the_last_write(session, tmp_path):
+    big = {"amount": 20_000_000}
+    values = [(json.dumps(record(1, "00:00:05", location=f"p{p}", **big)), p, offset, at(when)) for p, offset, when in ((0, 900, "00:00:01"), (1, 3, "00:00:09"), (2, 50, "00:00:04"))]
+    df = session.createDataFrame(values, "value string, partition int, offset long, arrival timestamp")
+    df.write.parquet(str(tmp_path / "topic"))
+    read = lambda _: session.readStream.schema(df.schema).parquet(str(tmp_path / "topic"))
+    rows_of = jobs.rule_stream(session, "big_amount", read, jobs.Options(place=True))
+    for log in (jobs.upsert_log("big_amount", str(tmp_path / "log"), rows_of.columns), jobs.tiered_log("big_amount", str(tmp_path / "tiers"), rows_of.columns)):
+        jobs.start(jobs.for_each_batch(rows_of, log.write), f"{log.path}-checkpoint", available_now=True).awaitTermination()
+        assert rows(log.view(session), "transaction_id", "location") == [("TX1", "p1")]
+
+
 def test_windowed_rules_and_messages_have_no_place(session, tmp_path):
     read = placed(session, tmp_path, (record(1, "00:00:09"), 3, 7))
     assert "offset" not in jobs.rule_stream(session, "velocity_alerts", read, jobs.Options(place=True)).columns
